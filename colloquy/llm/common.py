@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,11 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hash_share(column: str, share: float) -> Column:
+    """Holds for about that share of rows, the same ones each time, chosen by a hash of the column."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20)))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about `most` bytes, so that memory doesn't follow the batch size.
 
@@ -67,7 +74,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = 2_000_000) -
     if not batch.num_rows:
         return
     col = batch.column(batch.schema.get_field_index(column))
-    size = np.array([0 if n is None else n for n in pa.compute.binary_length(col).to_pylist()], dtype=np.int64)
+    size = np.array([0 if n is None else n for n in pc.binary_length(col).to_pylist()], dtype=np.int64)
     group = np.cumsum(size + 64) // most
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):

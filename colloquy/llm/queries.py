@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, langid, mixing
 
-_QUERIES = {"op10_bpe": bpe.op10_bpe}
+_QUERIES = {
+    "op6_language_id": langid.op6_language_id,
+    "op7_pfair_mixing": mixing.op7_pfair_mixing,
+    "op10_bpe": bpe.op10_bpe,
+}
 _ORACLES: dict[str, str] = {}
 
 

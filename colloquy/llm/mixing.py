@@ -42,7 +42,6 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, *, block_
 
     weights maps sources to target weights; sources it doesn't name weigh as the least it names.
     """
-    spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_units"))
     rows = rows.withColumn("key", F.xxhash64("doc_id"))
     n = docs.select("doc_id").count()
@@ -70,7 +69,6 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, *, block_
 
 def plan(sums: DataFrame, weights: dict[str, float] | None, block_chars: int, resolution: int, temperature: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sources, phases, slots): weights and periods of sources; sets of active sources; each set's schedule of a period."""
-    spark = sums.sparkSession
     totals = sums.groupBy("source").agg(F.sum("units").alias("units"))
     if weights:
         named = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -81,14 +79,13 @@ def plan(sums: DataFrame, weights: dict[str, float] | None, block_chars: int, re
     sources = totals.withColumn("share", share).withColumn("a", F.greatest(F.lit(1), F.round(F.col("share") * resolution / F.sum("share").over(everything))).cast("long"))
     sources = sources.withColumn("blocks", F.greatest(F.lit(1), F.expr(f"(units + {block_chars - 1}L) div {block_chars}L")).cast("long"))
     sources = stored(sources.select("source", "a", "blocks", F.expr("(blocks + a - 1) div a").alias("periods")))
-    ends = sources.select("periods").distinct()
-    phases = ends.select("periods", F.coalesce(F.lag("periods").over(Window.partitionBy(F.lit(1)).orderBy("periods")), F.lit(0)).alias("first"), F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("periods")).alias("phase"))
-    # theta joins of a row per source with a row per phase, both bounded by the number of sources
-    before = phases.join(sources.select("source", "a", F.col("periods").alias("own"))).groupBy("phase", "first").agg(
-        F.array_sort(F.collect_list(F.when(F.col("own") > F.col("first"), F.struct("source", "a")))).alias("w"),
-        F.sum(F.col("a") * F.least("own", "first")).alias("base"),
-        F.sum(F.when(F.col("own") > F.col("first"), F.col("a"))).alias("q"),
-    )
+    ranked = sources.withColumn("phase", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy("periods")))
+    # a source is active from the first phase to the one that its last period ends
+    active = ranked.select("source", "a", F.explode(F.sequence(F.lit(1), "phase")).alias("phase")).groupBy("phase").agg(F.array_sort(F.collect_list(F.struct("source", "a"))).alias("w"), F.sum("a").alias("q"))
+    by_phase = Window.partitionBy(F.lit(1)).orderBy("phase")
+    phases = ranked.select("phase", "periods").distinct().join(active, "phase").withColumn("first", F.coalesce(F.lag("periods").over(by_phase), F.lit(0)))
+    room = F.sum(F.col("q") * (F.col("periods") - F.col("first"))).over(by_phase.rowsBetween(Window.unboundedPreceding, -1))
+    before = phases.withColumn("base", F.coalesce(room, F.lit(0)))
     slots = before.withColumn("picks", F.expr(_PERIOD)).select("phase", "first", "base", "q", "w", F.posexplode("picks").alias("offset", "i"))
     slots = slots.select("phase", "first", "base", "q", F.col("offset").cast("long").alias("offset"), F.expr("w[i].source").alias("source"), F.expr("w[i].a").alias("a"))
     j = F.row_number().over(Window.partitionBy("phase", "source").orderBy("offset")).cast("long") - 1
@@ -99,13 +96,15 @@ def plan(sums: DataFrame, weights: dict[str, float] | None, block_chars: int, re
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, **kwargs) -> DataFrame:
     """docs in schedule order: partitions follow one another in slots, and rows are sorted within each."""
     spark = docs.sparkSession
-    plan = stored(schedule(docs, weights, **kwargs).groupBy("doc_id").agg(F.min("slot").alias("_slot")))
-    last, n = plan.agg(F.max("_slot"), F.count("*")).first()
-    if not n:
+    slots = schedule(docs, weights, **kwargs).groupBy("doc_id").agg(F.min("slot").alias("slot"))
+    slots = stored(slots.select(F.struct(F.col("doc_id").alias("id"), F.col("slot")).alias("_mixed")))
+    last = slots.agg(F.max("_mixed.slot")).first()[0]
+    if last is None:
         return docs
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.join(plan.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
-    return rows.repartitionByRange(parts, "_slot").sortWithinPartitions("_slot", "doc_id").drop("_slot")
+    rows = docs.join(slots, F.col("doc_id").eqNullSafe(F.col("_mixed.id")))
+    rows = rows.repartitionById(parts, F.expr(f"cast(_mixed.slot * {parts} div {last + 1} as int)"))
+    return rows.sortWithinPartitions("_mixed.slot", "doc_id").drop("_mixed")
 
 
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, mixing
+from . import bpe, flac, langid, mixing, pii
 
 _QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op6_language_id": langid.op6_language_id,
     "op7_pfair_mixing": mixing.op7_pfair_mixing,
+    "op8_flac": flac.op8_flac,
     "op10_bpe": bpe.op10_bpe,
 }
 _ORACLES: dict[str, str] = {}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, flac, langid, mixing, pii
+from . import boosting, bpe, flac, langid, mixing, pii, rules
 
 _QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op3_quality_rules": rules.op3_quality_rules,
+    "op5_quality_trees": boosting.op5_quality_trees,
     "op6_language_id": langid.op6_language_id,
     "op7_pfair_mixing": mixing.op7_pfair_mixing,
     "op8_flac": flac.op8_flac,

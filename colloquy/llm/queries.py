@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import boosting, bpe, flac, langid, mixing, pii, rules
+from . import boosting, bpe, flac, jaccard, langid, mixing, pii, rules
 
 _QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -11,6 +11,7 @@ _QUERIES = {
     "op6_language_id": langid.op6_language_id,
     "op7_pfair_mixing": mixing.op7_pfair_mixing,
     "op8_flac": flac.op8_flac,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_bpe": bpe.op10_bpe,
 }
 _ORACLES: dict[str, str] = {}

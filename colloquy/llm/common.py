@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def crc_mod(column: str, divisor: int) -> Column:
-    """crc32 of the column's value written as text, modulo divisor: the contracts' folds."""
-    return F.crc32(F.col(column).cast("string")) % F.lit(divisor)
+    """crc32 of the column's value written as text (null: ''), modulo divisor: the contracts' folds."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(divisor)
 
 
 def scratch(spark: SparkSession) -> str:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import boosting, bpe, flac, jaccard, langid, mixing, pii, rules
+from . import boosting, bpe, flac, jaccard, langid, maxent, mixing, pii, rules
 
 _QUERIES = {
     "op1_pii": pii.op1_pii,
     "op3_quality_rules": rules.op3_quality_rules,
+    "op4_maxent_scoring": maxent.op4_maxent_scoring,
     "op5_quality_trees": boosting.op5_quality_trees,
     "op6_language_id": langid.op6_language_id,
     "op7_pfair_mixing": mixing.op7_pfair_mixing,

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import column, crc_mod, slices, table
 
@@ -30,7 +31,6 @@ DOCS_PER_LANG = 1500
 MAX_LANGS = 200
 MAX_GRAMS = 300_000
 MAX_CONTEXTS = 12_000
-SCHEMA = "doc_id long, lang_pred string, score double"
 _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
@@ -155,12 +155,12 @@ def train(docs: DataFrame, fold: Column | None = None, *, docs_per_lang: int = D
     return Model.freeze(langs, grams["lang"].map(place).to_numpy(np.int64), grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.float64), max_contexts)
 
 
-def predict(docs: DataFrame, model: Model | None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred and score of every whole text, with the named further columns of docs."""
-    docs = docs.select("doc_id", "text", *extra)
+def predict(docs: DataFrame, model: Model | None, whole: bool = False) -> DataFrame:
+    """doc_id, lang_pred and score of every whole text; with whole=True all columns of docs, then lang_pred and score (columns
+    of docs with these names make way)."""
+    docs = docs.drop("lang_pred", "score") if whole else docs.select("doc_id", "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f for f in docs.schema.fields if f.name in extra]
-    schema = SCHEMA + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in fields)
+    schema = T.StructType([f for f in docs.schema.fields if whole or f.name == "doc_id"] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         model = shared.value
@@ -175,7 +175,8 @@ def predict(docs: DataFrame, model: Model | None, extra: tuple[str, ...] = ()) -
                     post = 1 / np.exp(np.maximum(nats.min(1, keepdims=True) - nats, -700)).sum(1)
                     for (i, _), k, p in zip(ready, best.tolist(), post.tolist(), strict=True):
                         lang[i], score[i] = model.langs[k], min(1.0, p)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(lang, pa.string()), pa.array(score, pa.float64()), *(part.column(part.schema.get_field_index(f.name)) for f in fields)], ["doc_id", "lang_pred", "score", *(f.name for f in fields)])
+                held = part if whole else part.select(["doc_id"])
+                yield pa.RecordBatch.from_arrays([*held.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*held.schema.names, "lang_pred", "score"])
 
     return docs.mapInArrow(run, schema)
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import boosting, bpe, flac, jaccard, langid, maxent, mixing, pii, rules
+from . import boosting, bpe, flac, html, jaccard, langid, maxent, mixing, pii, rules
 
 _QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_html_extraction": html.op2_html_extraction,
     "op3_quality_rules": rules.op3_quality_rules,
     "op4_maxent_scoring": maxent.op4_maxent_scoring,
     "op5_quality_trees": boosting.op5_quality_trees,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: A to Z to a to z, nothing else.
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def words(text: str | None) -> list[str]:

@@ -46,19 +46,31 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/colloquy-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write df to the shared scratch space and read it back: lineage ends at files that outlive executors."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write df to the shared scratch space and read it back: lineage ends at files that outlive executors.
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files behind a DataFrame from stored(), once nothing reads them any more."""
+    The shuffle files that the write needed go when it is done.
+    """
     spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0].rsplit("/", 1)[0]) if df.inputFiles() else None
-    if path is not None:
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, before = scratch(spark), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def drop_stored(*dfs: DataFrame) -> None:
+    """Delete the files behind DataFrames from stored(), once nothing reads them any more."""
+    for df in dfs:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hash_share(column: str, share: float) -> Column:

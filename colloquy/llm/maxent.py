@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, crc_mod, hash_share, hash_words, slices, stored, table, words
+from .common import column, crc_mod, drop_stored, hash_share, hash_words, slices, stored, table, words
 
 #: Words that are counted in arrays; the bound of what is broadcast.
 HEAD = 100_000
@@ -269,6 +269,7 @@ def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD, train_share:
     for r in counted.where("kind > 0").groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas().itertuples():
         (heads if r.kind == 1 else shapes)[r.key] = r.n
     rest = stored(_rest_of_documents(counted))
+    drop_stored(counted)
     kinds = np.zeros(SHAPES)
     for r in rest.where("kind = 1").select("id", "rows").collect():
         kinds[r.id] = r.rows

@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, max_ro
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("label")), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
     rows = sorted((tuple(r.x), r.label) for r in sample(docs, labels, "quality", max_rows, fold).mapInArrow(run, "label int, x array<double>").collect())
-    x = np.array([r[0] for r in rows]).reshape(len(rows), -1)
+    x = np.array([r[0] for r in rows]) if rows else np.zeros((0, 0))
     return grow(x, (np.array([r[1] for r in rows]) > 0).astype(float))
 
 

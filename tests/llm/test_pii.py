@@ -1,0 +1,75 @@
+"""Pseudonyms: formats, links, bijections, and what stays."""
+
+import re
+
+from colloquy.llm import pii
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(number) if c.isdigit()]
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+
+
+def replaced(spark, *texts, key=pii.KEY):
+    rows = spark.createDataFrame([(i, t, "clash", "clash") for i, t in enumerate(texts)], "doc_id long, text string, found_x string, pii_x string")
+    return [(r.text, [(s.kind, s.was, s.now) for s in r.pii]) for r in pii.replace_pii(rows, key, spans=True).orderBy("doc_id").collect()]
+
+
+def test_kinds_keep_their_formats(spark):
+    text = (
+        "Mail é.x-1@a.example.com, call +1 (017) 555-7713 or (555) 123-4567; card 4111 1111 1111 1111 and 378282246310005, ssn 123-45-6789, "
+        'born 1984-02-29 or 29/02/1984 or 01.05.1999, host 192.168.0.1. IBAN GB82 WEST 1234 5698 7654 32 token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"!'
+    )
+    ((out, spans),) = replaced(spark, text)
+    kinds = [k for k, _, _ in spans]
+    assert kinds == ["email", "phone", "phone", "card", "card", "ssn", "date", "date", "date", "ipv4", "iban", "secret"]
+    for kind, was, now in spans:
+        assert was != now and was not in out and now in out
+        if kind not in ("email", "secret"):
+            assert re.sub(r"\d", "9", was) == re.sub(r"\d", "9", now) or kind == "ipv4"
+    assert all(luhn(now) for kind, _, now in spans if kind == "card")
+    iban = next(now for kind, _, now in spans if kind == "iban").replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert all(0 <= int(o) <= 255 for kind, _, now in spans if kind == "ipv4" for o in now.split("."))
+    # what stands between the matches is kept
+    rest_in, rest_out = text, out
+    for _, was, now in spans:
+        rest_in, rest_out = rest_in.replace(was, "\0", 1), rest_out.replace(now, "\0", 1)
+    assert rest_in == rest_out
+
+
+def test_equal_values_stay_linked_and_the_key_matters(spark):
+    one, two = replaced(spark, "a 4111111111111111 b", "4111111111111111")
+    assert one[1][0][2] == two[1][0][2]
+    ((other, _),) = replaced(spark, "4111111111111111", key="another")
+    assert other != two[0]
+
+
+def test_what_does_not_validate_stays(spark):
+    texts = ["4111111111111112", "Version 2.0, CC BY-NC 4.0", "256.1.1.1 1.2.3", "000-12-3456 666-12-3456", "2021-02-30 1850-01-01", "a@b", "GB82 WEST 1234 5698 7654 33", "", None, "no digits at all", "12345678901234567890123"]
+    for text, (out, spans) in zip(texts, replaced(spark, *texts), strict=True):
+        assert out == text and spans == []
+
+
+def test_permutations_are_bijections(spark):
+    ends = [f"10.0.{i}.{j}" for i in range(8) for j in range(32)]
+    dates = [f"19{y:02d}-0{m}-1{d}" for y in range(10, 30) for m in range(1, 4) for d in range(3)]
+    people = [f"{a:03d}-{g:02d}-{s:04d}" for a in (1, 665, 667, 899) for g in (1, 99) for s in (1, 9999)]
+    for values in (ends, dates, people):
+        got = [t for t, _ in replaced(spark, *values)]
+        assert len(set(got)) == len(values)
+    assert all(1 <= int(t[:3]) <= 899 and t[:3] != "666" and t[4:6] != "00" and t[7:] != "0000" for t in got)
+
+
+def test_long_text_and_repeats(spark):
+    long = "word " * 50_000 + "und.34@mail7.example.com " * 300
+    (a, spans), (b, _) = replaced(spark, long, long)
+    assert a == b and len(spans) == 300 and "mail7" not in a
+
+
+def test_empty_table_and_query(spark, folder):
+    out = pii.replace_pii(spark.createDataFrame([], "doc_id long, text string"))
+    assert out.count() == 0
+    d = folder([(1, "x@y.example.com and 10.0.0.1"), (1, "x@y.example.com and 10.0.0.1"), (2, None)])
+    rows = pii.op1_pii(spark, d).orderBy("doc_id").collect()
+    assert [r.n_replaced for r in rows] == [2, 2, 0] and rows[0].n_email == 1 and rows[2].text is None

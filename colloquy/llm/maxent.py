@@ -18,6 +18,7 @@ is that of ''.  A doc_id names one text: rows that repeat it are scored each and
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -39,7 +40,8 @@ TRAIN_SHARE, MIN_SAMPLE = 1 / 24, 2000
 ROUNDS, BATCH, RATE = 3, 4096, 0.3
 #: Documents of the sample per training task.
 TASK_DOCS = 2000
-_PIECE = 1 << 18
+#: Weights in a piece that travels alone.
+_PIECE = 1 << 16
 
 
 def tokens(text: str | None) -> list[str]:
@@ -136,8 +138,11 @@ class Weights:
             squares[which][at] += slope**2
             table_[at] -= rate * slope / np.sqrt(squares[which][at] + 1e-6)
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.one.ravel(), self.two.ravel()])
+
     def pieces(self) -> list[bytes]:
-        flat = np.concatenate([self.one.ravel(), self.two.ravel()]).astype(np.float16).tobytes()
+        flat = self.flat().astype(np.float16).tobytes()
         return [flat[a : a + _PIECE] for a in range(0, len(flat), _PIECE)]
 
     @classmethod
@@ -189,24 +194,31 @@ def train(sample: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: flo
                     for a in range(0, len(target), BATCH):
                         own.learn(target[mixed[a : a + BATCH]], features[mixed[a : a + BATCH]], squares, rate)
                     seen += len(target)
-            if seen:
-                made = own.pieces()
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(made)), pa.int32()), pa.array([float(seen)] * len(made)), pa.array(made, pa.binary())], ["piece", "n", "weights"])
+            if seen:  # what changed, weighted by the tokens learned from; untouched pieces aren't sent
+                start = Weights.join(shared.value)
+                change = (seen * (own.flat() - start.flat()).astype(np.float64)).astype(np.float32)
+                made = [(i, zlib.compress(c.tobytes(), 1)) for i, a in enumerate(range(0, len(change), _PIECE)) if (c := change[a : a + _PIECE]).any()]
+                made.append((-1, np.float64(seen).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in made], pa.int32()), pa.array([b for _, b in made], pa.binary())], ["piece", "change"])
 
         return run
 
-    def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-        total, out = float(pdf["n"].sum()), 0.0
-        for w, k in zip(pdf["weights"], pdf["n"], strict=True):
-            out = out + np.frombuffer(w, np.float16).astype(np.float64) * (k / total)
-        return pd.DataFrame({"piece": [int(pdf["piece"].iloc[0])], "n": [total], "weights": [out.astype(np.float16).tobytes()]})
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        piece, total = int(pdf["piece"].iloc[0]), 0.0
+        for c in pdf["change"]:
+            total = total + (np.frombuffer(c, np.float64) if piece < 0 else np.frombuffer(zlib.decompress(c), np.float32).astype(np.float64))
+        return pd.DataFrame({"piece": [piece], "change": [total.tobytes()]})
 
     for r in range(rounds):
         part = sample.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds)) == r) if n > 200 else sample
-        part = part.repartition(tasks, F.xxhash64("doc_id", F.lit(2)))
-        done = part.mapInArrow(run_with(context.broadcast(weights.pieces())), "piece int, n double, weights binary").groupBy("piece").applyInPandas(mean, "piece int, n double, weights binary").collect()
-        if done:
-            weights = Weights.join([bytes(d.weights) for d in sorted(done, key=lambda d: d.piece)])
+        changes = part.repartition(tasks).mapInArrow(run_with(context.broadcast(weights.pieces())), "piece int, change binary")
+        done = {d.piece: np.frombuffer(bytes(d.change), np.float64) for d in changes.groupBy("piece").applyInPandas(add, "piece int, change binary").collect()}
+        if -1 in done:
+            flat = Weights.join(weights.pieces()).flat().astype(np.float64)
+            for i, change in done.items():
+                if i >= 0:
+                    flat[i * _PIECE : i * _PIECE + len(change)] += change / done[-1][0]
+            weights = Weights.join([flat.astype(np.float16).tobytes()])
     return weights
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import bpe, jaccard, langid, mixing, pii
-from colloquy.llm.common import stored, table
+from colloquy.llm.common import drop_stored, stored, table
 
 #: Near duplicates: shingles of five words, similarity 0.8.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -62,7 +62,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))
+        if before is not None:
+            drop_stored(before)
+        before = docs
     return docs

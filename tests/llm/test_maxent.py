@@ -43,7 +43,7 @@ def test_base_score_by_brute_force(spark, documents, head_words):
 
 def test_held_out_texts_score_better_than_unigrams(documents):
     rows = [r for r in maxent.score(documents(*corpus()[:300]), crc_mod("doc_id", 5) == 1).collect() if r.held_out]
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.9
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.97
 
 
 def test_repeated_rows_and_empty_table(spark, documents):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import math
+import pathlib
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,28 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application: they need not have it installed.
+
+    The archive lies in the shared scratch space.
+    """
+    context, package = spark.sparkContext, pathlib.Path(__file__).resolve().parents[1]
+    if getattr(context, "_colloquy_shipped", False) or not package.is_dir():
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch(spark)}-package.zip")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    context.addPyFile(str(path.toString()))
+    context._colloquy_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import bpe, jaccard, langid, mixing, pii
-from colloquy.llm.common import drop_stored, stored, table
+from colloquy.llm.common import drop_stored, ship, stored, table
 
 #: Near duplicates: shingles of five words, similarity 0.8.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -19,12 +19,14 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no text, no letters) go; lang becomes the predicted one."""
+    ship(spark)
     found = langid.predict(docs, langid.train(docs), whole=True).where(F.col("lang_pred") != "und")
     return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays."""
+    ship(spark)
     groups = stored(jaccard.jaccard_groups(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT))
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -47,6 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests of ids and decoded text."""
+    ship(spark)
     return bpe.encode_documents(docs, bpe.tokenizer_path(), ids=True)
 
 

@@ -8,8 +8,8 @@ the second softmax's weights are hashed by feature and class.  A word inside a s
 shape's training counts, and unseen words together take 0.5: all probabilities sum to one.
 
 Weights are learned by rounds of distributed gradient updates: each task runs Adagrad over its documents from the shared
-weights, and the weighted mean of the tasks' weights starts the next round.  The sample is `train_share` of the training documents,
-at least MIN_SAMPLE of them, so it grows with the corpus.  Word counts are exact and over all training documents: words that are frequent in the sample
+weights, and the weighted mean of the tasks' weights starts the next round.  Every training document is learned from in one of the rounds;
+a task reads its documents as a stream, a batch in memory at a time.  Word counts are exact and over all training documents: the most frequent words
 are counted in an array per task, all others as (word hash, document, count) rows, shuffled once by word and summed back by document.
 
 Rules: null text is the empty text, whose only token is the end; an empty corpus gives an empty result; a null doc_id's fold
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import column, crc_mod, drop_stored, hash_share, hash_words, slices, stored, table, words
+from .common import column, crc_mod, drop_stored, hash_words, slices, stored, table, words
 
 #: Words that are counted in arrays; the bound of what is broadcast.
 HEAD = 100_000
@@ -36,9 +36,8 @@ ITEMS = SIDE * SIDE
 BEGIN = ITEMS
 #: Weight rows of the two softmaxes.
 ROWS1, ROWS2 = 8192, 1 << 15
-TRAIN_SHARE, MIN_SAMPLE = 1 / 24, 2000
 ROUNDS, BATCH, RATE = 3, 4096, 0.3
-#: Documents of the sample per training task.
+#: Training documents per task.
 TASK_DOCS = 2000
 #: Weights in a piece that travels alone.
 _PIECE = 1 << 16
@@ -109,6 +108,14 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
+def _summed(table_: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """table_[rows].sum(1), a column of rows at a time."""
+    z = table_.take(rows[:, 0], 0)
+    for k in range(1, rows.shape[1]):
+        z += table_.take(rows[:, k], 0)
+    return z
+
+
 class Weights:
     def __init__(self, one: np.ndarray | None = None, two: np.ndarray | None = None):
         self.one = np.zeros((ROWS1, SIDE), np.float32) if one is None else one
@@ -121,22 +128,26 @@ class Weights:
             t, f = target[a : a + batch], features[a : a + batch]
             row = np.arange(len(t))
             klass, place = t % SIDE, t // SIDE
-            out[a : a + batch] = _log_softmax(self.one[f].sum(1))[row, klass] + _log_softmax(self.two[_second(f, klass)].sum(1))[row, place]
+            out[a : a + batch] = _log_softmax(_summed(self.one, f))[row, klass] + _log_softmax(_summed(self.two, _second(f, klass)))[row, place]
         return out / np.log(10)
 
     def learn(self, target: np.ndarray, features: np.ndarray, squares: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on a batch."""
         klass, place = target % SIDE, target // SIDE
         for which, table_, rows, right in ((0, self.one, features, klass), (1, self.two, _second(features, klass), place)):
-            p = np.exp(_log_softmax(table_[rows].sum(1)))
+            z = _summed(table_, rows)
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
             p[np.arange(len(right)), right] -= 1
-            flat = rows.ravel()
+            flat = rows.ravel().astype(np.uint16)  # numbers of rows fit, and so short ones are sorted by radix
             order = np.argsort(flat, kind="stable")
-            first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            at = flat[order][first]
-            slope = np.add.reduceat(p[order // rows.shape[1]], first, axis=0) / np.sqrt(len(right))
-            squares[which][at] += slope**2
-            table_[at] -= rate * slope / np.sqrt(squares[which][at] + 1e-6)
+            flat = flat[order]
+            first = np.concatenate([[0], np.flatnonzero(flat[1:] != flat[:-1]) + 1])
+            at = flat[first].astype(np.int64)
+            slope = np.add.reduceat(p.take(order // rows.shape[1], 0), first, axis=0) / np.float32(np.sqrt(len(right)))
+            square = squares[which].take(at, 0) + slope * slope
+            squares[which][at] = square
+            table_[at] -= np.float32(rate) * slope / np.sqrt(square + np.float32(1e-6))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.one.ravel(), self.two.ravel()])
@@ -152,8 +163,8 @@ class Weights:
         return cls(flat[:cut].reshape(ROWS1, SIDE).copy(), flat[cut:].reshape(-1, SIDE).copy())
 
 
-def choose_head(sample: DataFrame, most: int = HEAD) -> list[str]:
-    """The most frequent words of the sample; which ones decides the items and how much is shuffled, no count depends on it."""
+def choose_head(docs: DataFrame, most: int = HEAD) -> list[str]:
+    """The most frequent words of docs; which ones decides the items and how much is shuffled, no count depends on it."""
 
     def count(batches):
         seen: Counter = Counter()
@@ -166,7 +177,7 @@ def choose_head(sample: DataFrame, most: int = HEAD) -> list[str]:
                 seen = Counter()
         yield _counted(seen)
 
-    found = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    found = docs.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
     return found.select("word").toPandas()["word"].tolist()
 
 
@@ -174,11 +185,11 @@ def _counted(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def train(sample: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float = RATE) -> Weights:
-    """Distributed gradient updates over the sample (doc_id, text)."""
-    context = sample.sparkSession.sparkContext
+def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float = RATE) -> Weights:
+    """Distributed gradient updates over docs (doc_id, text), each of them in one of the rounds."""
+    context = docs.sparkSession.sparkContext
     weights, known = Weights(), context.broadcast(head)
-    n = sample.count()
+    n = docs.count()
     tasks = max(2, -(-n // (rounds * TASK_DOCS)))
 
     def run_with(shared):
@@ -210,9 +221,11 @@ def train(sample: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: flo
         return pd.DataFrame({"piece": [piece], "change": [total.tobytes()]})
 
     for r in range(rounds):
-        part = sample.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds)) == r) if n > 200 else sample
+        part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds)) == r)
         changes = part.repartition(tasks).mapInArrow(run_with(context.broadcast(weights.pieces())), "piece int, change binary")
-        done = {d.piece: np.frombuffer(bytes(d.change), np.float64) for d in changes.groupBy("piece").applyInPandas(add, "piece int, change binary").collect()}
+        summed = stored(changes.groupBy("piece").applyInPandas(add, "piece int, change binary"))  # frees the round's shuffle files
+        done = {d.piece: np.frombuffer(bytes(d.change), np.float64) for d in summed.collect()}
+        drop_stored(summed)
         if -1 in done:
             flat = Weights.join(weights.pieces()).flat().astype(np.float64)
             for i, change in done.items():
@@ -267,14 +280,12 @@ def _rest_of_documents(rows: DataFrame) -> DataFrame:
     return rows.groupBy("to.kind", "to.id").agg(F.sum(n * F.log10(F.col("c") + 0.5)).alias("terms"), F.sum(F.when(F.col("c") > 0, n).otherwise(0)).alias("known"), F.sum(n).alias("words"), F.count("*").alias("rows"))
 
 
-def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD, train_share: float = TRAIN_SHARE, min_sample: int = MIN_SAMPLE) -> DataFrame:
+def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; fold holds for held-out rows of docs."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~fold).alias("train"))
     learned = docs.where("train").select("doc_id", "text")
-    total = learned.select("doc_id").count()
-    sample = learned.where(hash_share("doc_id", min(1.0, max(train_share, min_sample / max(1, total)))))
-    head = choose_head(sample, head_words)
-    weights = train(sample, head)
+    head = choose_head(learned, head_words)
+    weights = train(learned, head)
 
     counted = stored(_count_words(docs, head))
     heads, shapes = np.zeros(len(head) + 1), np.zeros(SHAPES)

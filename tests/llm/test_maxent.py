@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from colloquy.llm import maxent
 from colloquy.llm.common import crc_mod
@@ -46,6 +47,31 @@ def test_held_out_texts_score_better_than_unigrams(documents):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.97
 
 
+@pytest.mark.parametrize("n", [30, 2600])
+def test_every_training_document_is_learned_from_once(documents, monkeypatch, n):
+    learned, made, train, store = [], [], maxent.train, maxent.stored
+
+    def storing(df):
+        out = store(df)
+        if "piece" in out.columns:
+            learned.extend(np.frombuffer(bytes(r.change), np.float64)[0] for r in out.where("piece = -1").collect())
+        return out
+
+    def training(docs, head, **kwargs):
+        made.append((head, train(docs, head, **kwargs)))
+        return made[-1][1]
+
+    monkeypatch.setattr(maxent, "stored", storing)
+    monkeypatch.setattr(maxent, "train", training)
+    own = min(n, 600)  # words that one document says
+    maxent.score(documents(*[(i, f"only{i}" if i < own else "common") for i in range(n)]), F.lit(False))
+    (head, weights), known = made[0], maxent.Words(made[0][0])
+    assert sum(learned) == 2 * n
+    assert {f"only{i}" for i in range(own)} <= set(head)
+    _, _, words, _, item, _ = known.look_up([[f"only{i}" for i in range(own)]])
+    assert weights.one[1 + item].any(1).all()
+
+
 def test_repeated_rows_and_empty_table(spark, documents):
     docs = documents((1, "a b rare1"), (1, "a b rare1"), (2, "a b c"), (None, "x"))
     out = maxent.score(docs, crc_mod("doc_id", 5) == 1, head_words=2).collect()

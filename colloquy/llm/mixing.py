@@ -1,12 +1,12 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame and SQL functions only.
 
 A source's documents are laid end to end and cut into blocks of `block_chars` characters; a document belongs to the block
-in which it starts.  Integer weights a (summing to Q over the sources that still have blocks) give block k of a source,
-counted within a period of Q slots, the release floor(kQ/a) and the deadline ceil((k+1)Q/a).  Each slot goes to the
-released block with the earliest deadline (ties: by source), which meets every deadline, so after any number of slots a
-source is less than one block away from its share.  A period's schedule depends on the weights alone and is the same for
-all periods with the same active sources, so it is worked out once for each such set; a block's slot then follows
-by integer arithmetic.  A source that runs out pads its last period with empty blocks and leaves; the others go on.
+in which it starts.  Shares are used as they are, without rounding: while sources have blocks left, each gets its share of
+the room divided by the shares of those, so block k of a source of share s and b blocks would begin at T(k / s) and end at
+T((k + 1) / s), where T(v) is the sum over sources of min(b, s v).  The floor of the one is the block's release and the ceiling
+of the other its deadline.  Each slot goes to the released block with the earliest deadline (ties: by source), which
+meets every deadline and leaves no slot empty, so after any number of slots a source is less than one block away from its
+target.  The driver goes through the slots once, holding a row per source and writing them out in pieces.
 
 Every document is scheduled once; none is dropped or repeated.  Positions inside a source come from sums per bucket of
 hashed ids, so that no task holds a whole source.  Rules: a null source counts as the source '', null and empty texts
@@ -16,31 +16,34 @@ take no room and belong to the block that is open; repeated rows are scheduled e
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
+from collections.abc import Iterator
+from heapq import heappop, heappush
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
 
 BLOCK_CHARS = 16_384
-#: Weights are whole numbers that sum to about this; a target weight is met to within half a unit of it.
-RESOLUTION = 240
 #: Without target weights, a source weighs its size to this power.
 TEMPERATURE = 0.5
-#: Up to so many sources, the tables of sources and period schedules are broadcast; beyond, they are joined by shuffle.
+#: Up to so many sources, the table of sources is broadcast; beyond, it is joined by shuffle.
 BROADCAST_SOURCES = 64
+#: Slots that the driver holds before it writes them.
+PIECE = 500_000
+#: Times this close to a whole number are that number.
+_NEAR = 1e-6
 
-#: One slot: the released block with the earliest deadline, as the place of its source in w.
-_PICK = """array_min(filter(transform(w, (s, i) -> named_struct('d', ((acc.k[i] + 1) * q + s.a - 1) div s.a, 'i', i, 'r', (acc.k[i] * q) div s.a, 'left', s.a - acc.k[i])),
-           x -> x.r <= t and x.left > 0)).i"""
-_PERIOD = f"""aggregate(sequence(0L, q - 1L), named_struct('k', transform(w, s -> 0L), 'picks', cast(array() as array<int>)),
-  (acc, t) -> named_struct('k', transform(acc.k, (v, i) -> if(i = {_PICK}, v + 1L, v)), 'picks', concat(acc.picks, array({_PICK})))).picks"""
 
-
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None, *, block_chars: int = BLOCK_CHARS, resolution: int = RESOLUTION, temperature: float = TEMPERATURE) -> DataFrame:
+def schedule(docs: DataFrame, weights: dict[str, float] | None = None, *, block_chars: int = BLOCK_CHARS, resolution: int | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """doc_id, source, n_units, block, release, deadline, slot for every row of docs (doc_id, text, source).
 
     weights maps sources to target weights; sources it doesn't name weigh as the least it names.
+    resolution has no effect: weights aren't rounded.
     """
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_units"))
     rows = rows.withColumn("key", F.xxhash64("doc_id"))
@@ -54,43 +57,72 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, *, block_
     placed = rows.withColumn("inside", F.coalesce(F.sum("n_units").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     placed = placed.join(offsets, ["source", "bucket"]).select("doc_id", "source", "n_units", F.expr(f"(offset + inside) div {block_chars}L").alias("block"))
 
-    sources, phases, slots = plan(sums, weights, block_chars, resolution, temperature)
+    sources, slots = plan(sums, weights, block_chars, temperature)
     hint = F.broadcast if sources.count() <= BROADCAST_SOURCES else (lambda df: df)
-    bounds = [r[0] for r in phases.select("first").orderBy("first").collect()]
-    # a phase per source at most
-    phase = F.size(F.filter(F.lit(bounds).cast("array<long>"), lambda b: b <= F.col("period"))) if bounds else F.lit(0)
     # the last block may be one too far where a source's last documents are empty: they join the block before
-    out = placed.join(hint(sources.select("source", "a", "blocks")), "source").withColumn("block", F.least("block", F.col("blocks") - 1))
-    out = out.withColumn("period", F.expr("block div a")).withColumn("j", F.expr("block % a")).withColumn("phase", phase.cast("int"))
-    out = out.join(hint(slots), ["source", "phase", "j"])
-    start = F.col("base") + (F.col("period") - F.col("first")) * F.col("q")
-    return out.select("doc_id", "source", "n_units", "block", (start + F.col("release")).alias("release"), (start + F.col("deadline")).alias("deadline"), (start + F.col("offset")).alias("slot"))
+    out = placed.join(hint(sources.select("source", "blocks")), "source").withColumn("block", F.least("block", F.col("blocks") - 1))
+    return out.join(slots, ["source", "block"]).select("doc_id", "source", "n_units", "block", "release", "deadline", "slot")
 
 
-def plan(sums: DataFrame, weights: dict[str, float] | None, block_chars: int, resolution: int, temperature: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sources, phases, slots): weights and periods of sources; sets of active sources; each set's schedule of a period."""
+def plan(sums: DataFrame, weights: dict[str, float] | None, block_chars: int, temperature: float) -> tuple[DataFrame, DataFrame]:
+    """(sources, slots): shares and numbers of blocks of sources; the window and slot of every block."""
     totals = sums.groupBy("source").agg(F.sum("units").alias("units"))
     if weights:
         named = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))])
         share = F.coalesce(named[F.col("source")], F.lit(float(min(weights.values()))))
     else:
         share = F.pow(F.greatest(F.col("units"), F.lit(1)).cast("double"), F.lit(float(temperature)))
-    everything = Window.partitionBy(F.lit(1))  # a row per source
-    sources = totals.withColumn("share", share).withColumn("a", F.greatest(F.lit(1), F.round(F.col("share") * resolution / F.sum("share").over(everything))).cast("long"))
-    sources = sources.withColumn("blocks", F.greatest(F.lit(1), F.expr(f"(units + {block_chars - 1}L) div {block_chars}L")).cast("long"))
-    sources = stored(sources.select("source", "a", "blocks", F.expr("(blocks + a - 1) div a").alias("periods")))
-    ranked = sources.withColumn("phase", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy("periods")))
-    # a source is active from the first phase to the one that its last period ends
-    active = ranked.select("source", "a", F.explode(F.sequence(F.lit(1), "phase")).alias("phase")).groupBy("phase").agg(F.array_sort(F.collect_list(F.struct("source", "a"))).alias("w"), F.sum("a").alias("q"))
-    by_phase = Window.partitionBy(F.lit(1)).orderBy("phase")
-    phases = ranked.select("phase", "periods").distinct().join(active, "phase").withColumn("first", F.coalesce(F.lag("periods").over(by_phase), F.lit(0)))
-    room = F.sum(F.col("q") * (F.col("periods") - F.col("first"))).over(by_phase.rowsBetween(Window.unboundedPreceding, -1))
-    before = phases.withColumn("base", F.coalesce(room, F.lit(0)))
-    slots = before.withColumn("picks", F.expr(_PERIOD)).select("phase", "first", "base", "q", "w", F.posexplode("picks").alias("offset", "i"))
-    slots = slots.select("phase", "first", "base", "q", F.col("offset").cast("long").alias("offset"), F.expr("w[i].source").alias("source"), F.expr("w[i].a").alias("a"))
-    j = F.row_number().over(Window.partitionBy("phase", "source").orderBy("offset")).cast("long") - 1
-    slots = slots.withColumn("j", j).withColumn("release", F.expr("(j * q) div a")).withColumn("deadline", F.expr("((j + 1) * q + a - 1) div a")).drop("a")
-    return sources, phases, stored(slots.withColumn("phase", F.col("phase").cast("int")))
+    blocks = F.greatest(F.lit(1), F.expr(f"(units + {block_chars - 1}L) div {block_chars}L")).cast("long")
+    sources = stored(totals.select("source", share.alias("share"), blocks.alias("blocks")))
+    rows = sorted(sources.collect(), key=lambda r: r.source)
+    spark, names, slots = sums.sparkSession, pa.array([r.source for r in rows], pa.string()), None
+    for piece in _pieces([r.share for r in rows], [r.blocks for r in rows]):
+        i, *numbers = piece.T
+        made = spark.createDataFrame(pa.table([names.take(pa.array(i)), *map(pa.array, numbers)], ["source", "block", "release", "deadline", "slot"]))
+        if slots is None:
+            slots = stored(made)
+        else:
+            made.write.mode("append").parquet(slots._stored_at)
+    if slots is None:
+        return sources, spark.createDataFrame([], "source string, block long, release long, deadline long, slot long")
+    return sources, spark.read.schema(slots.schema).parquet(slots._stored_at)
+
+
+def _pieces(shares: list[float], blocks: list[int]) -> Iterator[np.ndarray]:
+    """Rows (source, block, release, deadline, slot) of all blocks in the order of slots, in pieces."""
+    low = 1e-9 * max(shares, default=1.0) or 1.0
+    shares = [max(s, low) for s in shares]  # weights of 0 come last
+    ends = sorted((b / s, s, b) for s, b in zip(shares, blocks, strict=True))
+    out_at = [v for v, _, _ in ends]
+    gone = [0, *accumulate(b for _, _, b in ends)]
+    going = [*accumulate((s for _, s, _ in reversed(ends)), initial=0.0)][::-1]
+
+    def time(v: float) -> float:
+        k = bisect_left(out_at, v)
+        return gone[k] + going[k] * v
+
+    def window(i: int, k: int) -> tuple[int, int]:
+        return math.floor(time(k / shares[i]) + _NEAR), math.ceil(time((k + 1) / shares[i]) - _NEAR)
+
+    # one block of each source waits, by release, or is ready, by deadline
+    waiting, ready, rows = [], [], []
+    for i in range(len(shares)):
+        release, deadline = window(i, 0)
+        heappush(waiting, (release, deadline, i, 0))
+    for slot in range(sum(blocks)):
+        while waiting and (waiting[0][0] <= slot or not ready):
+            release, deadline, i, k = heappop(waiting)
+            heappush(ready, (deadline, i, k, release))
+        deadline, i, k, release = heappop(ready)
+        rows.append((i, k, release, deadline, slot))
+        if k + 1 < blocks[i]:
+            release, deadline = window(i, k + 1)
+            heappush(waiting, (release, deadline, i, k + 1))
+        if len(rows) == PIECE:
+            yield np.array(rows, np.int64)
+            rows = []
+    if rows:
+        yield np.array(rows, np.int64)
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, **kwargs) -> DataFrame:

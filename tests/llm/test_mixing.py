@@ -72,3 +72,33 @@ def test_mixed_keeps_rows_and_orders_them(spark, documents, tmp_path):
 
     order = [slots[i] for f in sorted(glob.glob(f"{tmp_path}/out/part-*")) for i in pq.read_table(f)["doc_id"].to_pylist()]
     assert order == sorted(order)
+
+
+@pytest.mark.parametrize(("shares", "blocks"), [([(1 / 3) ** 0.5] + [(2 / 57) ** 0.5] * 19, [700] + [74] * 19), ([500_000**0.5] + [1000**0.5] * 1000, [31] + [1] * 1000), ([2**0.5, 3**0.5, 0.01], [3000, 2000, 5])])
+def test_deviation_from_unrounded_weights_is_less_than_one_block(shares, blocks):
+    rows = [r for piece in mixing._pieces(shares, blocks) for r in piece.tolist()]
+    assert [r[4] for r in rows] == list(range(sum(blocks)))
+    assert all(r[2] <= r[4] < r[3] for r in rows)
+    left, done, target = set(range(len(shares))), [0] * len(shares), [0.0] * len(shares)
+    for i, k, *_ in rows:
+        assert done[i] == k
+        done[i] += 1
+        room = 1.0  # the slot's time, shared by the sources that have blocks left
+        while room > 1e-9:
+            total = sum(shares[s] for s in left)
+            step = min(room, *((blocks[s] - target[s]) * total / shares[s] for s in left)) if left else room
+            for s in left:
+                target[s] += step * shares[s] / total
+            left = {s for s in left if blocks[s] - target[s] > 1e-9}
+            room -= step
+        assert all(abs(d - t) < 1 + 1e-6 for d, t in zip(done, target, strict=True))
+
+
+def test_weights_are_not_rounded(documents):
+    docs = documents(*[(i, "x" * 100, "en", "s0" if i < 500 else f"s{i}") for i in range(1000)])
+    weights = {"s0": 500.0, **{f"s{i}": 1.0 for i in range(500, 1000)}}
+    slots = {r.slot: r.source for r in mixing.schedule(docs, weights, block_chars=100).collect()}
+    done = 0
+    for t in range(1000):
+        done += slots[t] == "s0"
+        assert abs(done - (t + 1) / 2) < 1

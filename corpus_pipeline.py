@@ -1,13 +1,14 @@
 """From documents to tokens: language ID, near duplicates, personal data, source mixing, BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet and reads again as the next
-stage's docs.  All but the last return the columns of documents.  Empty input gives empty output; rows without a doc_id
+stage's docs.  All but the last return the columns of documents; the last also says where in the mixing order a document is.  Empty input gives empty output; rows without a doc_id
 pass the near-duplicate stage, since no group can name them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.llm import bpe, jaccard, langid, mixing, pii
@@ -43,14 +44,30 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the order of the Pfair schedule of their sources; all stay."""
+    """Documents in the order of the Pfair schedule of their sources, at its default weights; all stay, and the next stage numbers them in this order."""
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with the digests of ids and decoded text."""
+    """Token ids of each document, with the digests of ids and decoded text, and the document's position in the order of docs."""
     ship(spark)
-    return bpe.encode_documents(docs, bpe.tokenizer_path(), ids=True)
+    return bpe.encode_documents(positioned(docs), bpe.tokenizer_path(), ids=True, keep=("position",))
+
+
+def positioned(docs: DataFrame) -> DataFrame:
+    """docs with position, from 0 on: by name of the file and row in it, since scans pack files by size.
+
+    Rows that no Parquet file holds are counted as the DataFrame has them.
+    """
+    try:
+        rows = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        place = F.monotonically_increasing_id()
+        rows = stored(docs.select("doc_id", "text", F.shiftright(place, 33).cast("string").alias("file"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("row")))
+        rows = rows.withColumn("file", F.lpad("file", 10, "0"))
+    before = Window.partitionBy(F.lit(1)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = rows.groupBy("file").agg(F.count("*").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return rows.join(F.broadcast(files), "file").select("doc_id", "text", (F.col("first") + F.col("row")).alias("position"))
 
 
 STAGES = [

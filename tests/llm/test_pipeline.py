@@ -65,6 +65,21 @@ def test_run(spark, folder):
     assert re.fullmatch("[0-9a-f]{64}", out[303].ids_sha256)
 
 
+def test_mixing_decides_positions(spark, folder, monkeypatch):
+    monkeypatch.setattr(mixing.schedule, "__kwdefaults__", mixing.schedule.__kwdefaults__ | {"block_chars": 500})
+    d = folder(corpus())
+    position = {r.doc_id: r.position for r in corpus_pipeline.run(spark, d).collect()}
+    assert sorted(position.values()) == list(range(len(position)))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [s for s in corpus_pipeline.STAGES if s[0] != "mixing"])
+    assert {r.doc_id: r.position for r in corpus_pipeline.run(spark, d).collect()} != position
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, d).collect(), docs.schema)
+    slot = {r.doc_id: r.slot for r in mixing.schedule(docs).collect()}
+    order = [slot[i] for i in sorted(position, key=position.get)]
+    assert order == sorted(order) and len(set(order)) > 3
+
+
 def test_empty(spark, folder):
     assert corpus_pipeline.run(spark, folder([])).count() == 0
 

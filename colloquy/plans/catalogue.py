@@ -120,9 +120,9 @@ def turn_reward(spark, d) -> DataFrame:
     return rewards.rewarded(fixtures.log(spark, d)).select(*KEY, "rejected", "paid", *r6("reward"))
 
 
-def _returns(*columns):
+def _returns(flag: str, *columns: str):
     def query(spark, d) -> DataFrame:
-        return rewards.returns(rewards.rewarded(fixtures.log(spark, d))).select("case_id", "traj_id", *columns)
+        return rewards.returns(rewards.rewarded(fixtures.log(spark, d))).select("case_id", "traj_id", flag, *r6(*columns))
 
     return query
 
@@ -353,8 +353,8 @@ QUERIES = {
     "sufficiency": _measured("s"),
     "potential": _measured("phi", "psi"),
     "process_reward": _measured("r_p"),
-    "return_decomposition": _returns("adds_up", *r6("total", "facts", "end")),
-    "residual_bounds": _returns("in_bounds", *r6("residual", "low", "high")),
+    "return_decomposition": _returns("adds_up", "total", "facts", "end"),
+    "residual_bounds": _returns("in_bounds", "residual", "low", "high"),
 } | {
     f.__name__: f
     for f in (

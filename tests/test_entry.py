@@ -15,6 +15,11 @@ def test_entry_imports_without_the_corpus_operators(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=os.environ | {"PYTHONPATH": str(copy)})
 
 
+def test_entry_imports_without_a_session():
+    code = "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); from pyspark import SparkContext as c; assert c._active_spark_context is None"
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, env=os.environ | {"PYTHONPATH": ROOT})
+
+
 def test_oracles_belong_to_queries():
     import __spark_entry__ as entry
 

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
 import io
 import math
 import pathlib
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,15 +67,87 @@ def crc_mod(column: str, divisor: int) -> Column:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name under the shared checkpoint folder; a local one is set only where none is configured (tests)."""
+    """A new folder name under the shared checkpoint folder.  Where none is configured a local master takes a temporary one (tests);
+    on a cluster that folder would not be shared, so there it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="colloquy-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/colloquy-{uuid.uuid4().hex}"
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANUP_LOCK, _CLEANUP_USERS = threading.Lock(), []
+
+
+@contextmanager
+def _shuffle_files_go(spark: SparkSession) -> Iterator[None]:
+    """Queries inside delete their shuffle files when done; the setting comes back when the last of several users leaves."""
+    with _CLEANUP_LOCK:
+        _CLEANUP_USERS.append(spark.conf.get(_CLEANUP, "false") if not _CLEANUP_USERS else _CLEANUP_USERS[0])
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _CLEANUP_LOCK:
+            before = _CLEANUP_USERS.pop()
+            if not _CLEANUP_USERS:
+                spark.conf.set(_CLEANUP, before)
+
+
+class _Held:
+    """What one piece of work has stored or broadcast and not let go of yet."""
+
+    def __init__(self):
+        self.things: dict[object, Callable[[], None]] = {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df's files outlive this piece of work; the one around it is responsible for them."""
+        release = self.things.pop(df._stored_at)
+        _held(self).things[df._stored_at] = release
+        return df
+
+    def let_go(self) -> None:
+        while self.things:
+            self.things.popitem()[1]()
+
+
+_OUTERMOST, _WORK = _Held(), threading.local()
+
+
+def _held(inside: _Held | None = None) -> _Held:
+    """The piece of work under way, or the one around another."""
+    stack = [_OUTERMOST, *getattr(_WORK, "stack", [])]
+    return stack[stack.index(inside) - 1] if inside else stack[-1]
+
+
+@contextmanager
+def working() -> Iterator[_Held]:
+    """Stored DataFrames and broadcasts made inside are deleted at the end, except those that keep() names.
+
+    What is made outside of any such block, for a result that is still to be computed, goes when the driver exits.
+    """
+    _WORK.stack = [*getattr(_WORK, "stack", []), held := _Held()]
+    try:
+        yield held
+    finally:
+        _WORK.stack = [h for h in _WORK.stack if h is not held]
+        held.let_go()
+
+
+@atexit.register
+def _exit() -> None:
+    with suppress(Exception):  # the session may have ended before
+        _OUTERMOST.let_go()
+
+
+def shared(spark: SparkSession, value):
+    """A broadcast that ends with the surrounding piece of work."""
+    out = spark.sparkContext.broadcast(value)
+    _held().things[id(out)] = out.destroy
+    return out
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -79,22 +156,56 @@ def stored(df: DataFrame) -> DataFrame:
     The shuffle files that the write needed go when it is done.
     """
     spark = df.sparkSession
-    path, before = scratch(spark), spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    path = scratch(spark)
+    with _shuffle_files_go(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    _held().things[path] = lambda: _delete(spark, path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_stored(*dfs: DataFrame) -> None:
     """Delete the files behind DataFrames from stored(), once nothing reads them any more."""
     for df in dfs:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        for held in [_OUTERMOST, *getattr(_WORK, "stack", [])]:
+            held.things.pop(df._stored_at, None)
+        _delete(df.sparkSession, df._stored_at)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """name, lengthened until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_ids(docs: DataFrame, *columns: str, file: str = "file", row: str = "row") -> DataFrame:
+    """The named columns of docs (default: all) and two numbers that tell rows apart, whatever the rows hold: a hash of the
+    Parquet file's path and the place in the file.  Rows that no Parquet file holds are stored first."""
+    columns = columns or tuple(docs.columns)
+
+    def read(df: DataFrame) -> DataFrame:
+        place = df.metadataColumn("_metadata")
+        return df.select(*(df[c] for c in columns), F.xxhash64(place["file_path"]).alias(file), place["row_index"].alias(row))
+
+    try:
+        return read(docs)
+    except AnalysisException:
+        return read(stored(docs.select(*columns)))
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system at a task's end: idle Python workers stay alive beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def hash_share(column: str, share: float) -> Column:

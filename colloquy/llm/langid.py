@@ -3,15 +3,17 @@
 Per language a tree of byte contexts up to three bytes long predicts the next byte.  A context gives a byte it has seen
 c times the share c/(T+D) (T bytes seen, D different ones) and keeps D/(T+D) for escaping to the next shorter context,
 where bytes that the longer one could code are excluded; below the empty context all 256 bytes are alike.  After training
-the statistics are frozen, so every (context, byte) has one exact code length in each language; these are laid out as a
-table, and a text's code length is a sum of table rows, taken in numpy for many texts at once.
+the statistics are frozen: per language sorted arrays hold the exact code length of every byte string learned and what every
+context's escape adds, so the code length of any four bytes is found by four searches.  A text is taken apart into its
+different four-byte strings, each is coded once per language, and the sums are taken in numpy, a megabyte at a time.
 
 What is coded: the text's lower-case form in UTF-8, each run of ASCII non-letters as one space.  The language with the
 shortest code wins (ties: the first by name); score is its posterior under equal priors.
 
 Learning uses at most `docs_per_lang` documents of each language in expectation (those with the lowest hashes of doc_id),
-whole texts.  Rules: null texts and texts without a letter are `und` with score 0; with nothing to learn from, all
-texts are.  Rows stay as they are, repeated ones too; columns beyond doc_id, text and lang are ignored.
+whole texts, and keeps the `grams_per_lang` most frequent four-byte strings of each: about a megabyte a language, however many
+languages there are.  Rules: null texts and texts without a letter are `und` with score 0; with nothing to learn from, all
+texts are.  Texts of any length are read whole; rows stay as they are, repeated ones too; columns beyond doc_id, text and lang are ignored.
 """
 
 from __future__ import annotations
@@ -20,17 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, crc_mod, slices, table
+from .common import column, crc_mod, give_back, shared, slices, table
 
 DOCS_PER_LANG = 1500
-#: Languages, four-byte strings and contexts kept at most: they bound the model.
-MAX_LANGS = 200
-MAX_GRAMS = 300_000
-MAX_CONTEXTS = 12_000
+#: Four-byte strings kept of each language.
+GRAMS_PER_LANG = 75_000
+#: Bytes that are coded at a time, in memory.
+_CHUNK = 1 << 20
 _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
@@ -55,84 +57,89 @@ def _grams(b: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Model:
-    """Frozen code lengths in nats: cost[state * symbols + symbol, language]."""
+class Language:
+    """One language's frozen statistics; by order, the number of bytes of context."""
 
-    langs: list[str]
-    symbol: np.ndarray  # byte -> symbol; the last symbol stands for every byte not learned
-    state: np.ndarray  # three symbols -> the longest known context
-    cost: np.ndarray
+    strings: list[np.ndarray]  # context and byte, as one number, sorted
+    cost: list[np.ndarray]  # their code lengths in nats
+    contexts: list[np.ndarray]  # sorted
+    escape: list[np.ndarray]  # nats that a byte unknown to the context costs besides its code in the shorter context
 
     @classmethod
-    def freeze(cls, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, max_contexts: int) -> Model:
-        """From counts n of four-byte strings per language (an index into langs)."""
-        parts = np.stack([(gram >> s) & 255 for s in (24, 16, 8, 0)], 1).astype(np.int64)
-        known = np.unique(parts)
-        size = len(known) + 1
-        symbol = np.full(256, size - 1, np.int64)
-        symbol[known] = np.arange(len(known))
-        parts = symbol[parts]
-        context = [np.zeros(len(parts), np.int64), parts[:, 2], parts[:, 1] * size + parts[:, 2], (parts[:, 0] * size + parts[:, 1]) * size + parts[:, 2]]
-        tables: list[np.ndarray] = []  # by order: dense or chosen contexts x symbols x languages, as probabilities
-        below = np.full((1, size, len(langs)), 1 / 256)
-        chosen_at = {}
-        for order in range(4):
-            keys, inverse = np.unique(context[order], return_inverse=True)
-            if order == 3 and len(keys) > max_contexts:
-                total = np.bincount(inverse, n, len(keys))
-                top = np.sort(np.argsort(-total, kind="stable")[:max_contexts])
-                place = np.full(len(keys), -1)
-                place[top] = np.arange(len(top))
-                keys, inverse = keys[top], place[inverse]
-            count = np.zeros((len(keys), size, len(langs)))
-            ok = inverse >= 0
-            np.add.at(count, (inverse[ok], parts[ok, 3], lang[ok]), n[ok])
-            if order:
-                parent = np.searchsorted(chosen_at[order - 1], keys % size ** (order - 1))
-                base = tables[order - 1][parent]
-            else:
-                base = below
-            seen = count > 0
-            total, kinds = count.sum(1, keepdims=True), seen.sum(1, keepdims=True)
-            left = 1 - np.where(seen, base, 0).sum(1, keepdims=True)
-            escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
-            share = np.where(total > 0, base / np.maximum(left, 1e-9), base)
-            tables.append(np.where(seen, count / np.maximum(total + kinds, 1), escape * np.minimum(share, 1)))
-            chosen_at[order] = keys
-        state = np.zeros(size**3, np.int64)
-        cost, first = [], 0
-        every = np.arange(size**3)
+    def freeze(cls, gram: np.ndarray, n: np.ndarray) -> Language:
+        """From counts n of four-byte strings."""
+        out, shorter = cls([], [], [], []), None
         for order in range(4):
-            keys = chosen_at[order]
-            at = np.searchsorted(keys, every % size**order)
-            at = np.minimum(at, len(keys) - 1)
-            hit = keys[at] == every % size**order
-            state[hit] = first + at[hit]
-            first += len(keys)
-            cost.append(-np.log(np.maximum(tables[order], 1e-30)))
-        return cls(langs, symbol.astype(np.int32), state.astype(np.int32), np.concatenate(cost).reshape(-1, len(langs)).astype(np.float32))
-
-    def code_lengths(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Nats per text and language; texts from coded(), none of them empty."""
-        size = np.int32(round(len(self.state) ** (1 / 3)))
-        s = self.symbol[np.concatenate(texts)]
-        index = self.state[(s[:-3] * size + s[1:-2]) * size + s[2:-1]] * size + s[3:]
-        lengths = np.array([len(t) for t in texts])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        cost = self.cost[index].astype(np.float64)
-        total = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(cost, 0)])
-        return total[starts + lengths - 3] - total[starts]
+            strings, place = np.unique(gram & _mask(order + 1), return_inverse=True)
+            count = np.bincount(place, n, len(strings))
+            contexts, of = np.unique(strings >> 8, return_inverse=True)
+            total, kinds = np.bincount(of, count), np.bincount(of)
+            share = count / (total + kinds)[of]
+            below = np.full(len(strings), 1 / 256) if shorter is None else shorter[np.searchsorted(out.strings[-1], strings & _mask(order))]
+            left = np.maximum(1 - np.bincount(of, below), 1e-9)
+            out.strings.append(strings.astype(np.uint32))
+            out.cost.append(-np.log(share))
+            out.contexts.append(contexts.astype(np.uint32))
+            out.escape.append(np.log(left) - np.log(kinds / (total + kinds)))
+            shorter = share
+        return out
+
+    def code(self, gram: np.ndarray) -> np.ndarray:
+        """Nats of the last byte of each four-byte string (unsigned 32-bit, sorted), after the first three."""
+        out, rest = np.zeros(len(gram)), np.arange(len(gram))
+        for order in (3, 2, 1, 0):
+            string = gram[rest] & np.uint32(_mask(order + 1))
+            at = np.minimum(np.searchsorted(self.strings[order], string), len(self.strings[order]) - 1)
+            known = self.strings[order][at] == string
+            out[rest[known]] += self.cost[order][at[known]]
+            rest, context = rest[~known], string[~known] >> np.uint32(8)
+            at = np.minimum(np.searchsorted(self.contexts[order], context), len(self.contexts[order]) - 1)
+            seen = self.contexts[order][at] == context
+            out[rest[seen]] += self.escape[order][at[seen]]
+        out[rest] += np.log(256)
+        return out
+
+
+def _mask(size: int) -> int:
+    return (1 << 8 * size) - 1
 
 
-def train(docs: DataFrame, fold: Column | None = None, *, docs_per_lang: int = DOCS_PER_LANG, max_contexts: int = MAX_CONTEXTS) -> Model | None:
+@dataclass
+class Model:
+    langs: list[str]
+    frozen: list[Language]
+
+    def code_lengths(self, texts: list[np.ndarray], chunk: int = _CHUNK) -> np.ndarray:
+        """Nats per text and language; texts from coded(), none of them empty."""
+        out = np.zeros((len(texts), len(self.langs)))
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for start in range(3, len(text), chunk):  # a piece begins with the three bytes before it
+                held.append((i, text[start - 3 : start + chunk]))
+                size += len(held[-1][1])
+                if size >= chunk:
+                    self._add(held, out)
+                    held, size = [], 0
+        if held:
+            self._add(held, out)
+        return out
+
+    def _add(self, pieces: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
+        gram, place = np.unique(np.concatenate([_grams(b) for _, b in pieces]), return_inverse=True)
+        row = np.repeat(np.arange(len(pieces)), [len(b) - 3 for _, b in pieces])
+        of = np.array([i for i, _ in pieces])
+        for k, language in enumerate(self.frozen):
+            np.add.at(out[:, k], of, np.bincount(row, language.code(gram)[place], len(pieces)))
+
+
+def train(docs: DataFrame, fold: Column | None = None, *, docs_per_lang: int = DOCS_PER_LANG, grams_per_lang: int = GRAMS_PER_LANG) -> Model | None:
     """Learn from docs (doc_id, text, lang) where fold holds; None if no row can be learned from."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if fold is not None:
         rows = rows.where(fold)
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    found = rows.groupBy("lang").count().collect()  # a row per language
     if not found:
         return None
-    langs = sorted(r["lang"] for r in found)
     share = F.create_map(*[x for r in found for x in (F.lit(r["lang"]), F.lit(docs_per_lang / r["count"]))])
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20)) < share[F.col("lang")])
 
@@ -147,23 +154,27 @@ def train(docs: DataFrame, fold: Column | None = None, *, docs_per_lang: int = D
                     keys, n = np.unique(np.concatenate(grams), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
                 held.clear()
+        give_back()
 
-    grams = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram", "lang").limit(MAX_GRAMS).toPandas()
-    if not len(grams):
+    grams = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))  # of what docs_per_lang documents hold
+    kept = grams.withColumn("place", place).where(F.col("place") <= grams_per_lang).select("lang", "gram", "n").toPandas()
+    if not len(kept):
         return None
-    place = {lang: i for i, lang in enumerate(langs)}
-    return Model.freeze(langs, grams["lang"].map(place).to_numpy(np.int64), grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.float64), max_contexts)
+    by = {lang: rows for lang, rows in kept.groupby("lang")}
+    langs = sorted(by)
+    return Model(langs, [Language.freeze(by[lang]["gram"].to_numpy(np.int64), by[lang]["n"].to_numpy(np.float64)) for lang in langs])
 
 
 def predict(docs: DataFrame, model: Model | None, whole: bool = False) -> DataFrame:
     """doc_id, lang_pred and score of every whole text; with whole=True all columns of docs, then lang_pred and score (columns
     of docs with these names make way)."""
     docs = docs.drop("lang_pred", "score") if whole else docs.select("doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
     schema = T.StructType([f for f in docs.schema.fields if whole or f.name == "doc_id"] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
-        model = shared.value
+        model = held.value
         for batch in batches:
             for part in slices(batch):
                 texts = column(part, "text")
@@ -175,8 +186,9 @@ def predict(docs: DataFrame, model: Model | None, whole: bool = False) -> DataFr
                     post = 1 / np.exp(np.maximum(nats.min(1, keepdims=True) - nats, -700)).sum(1)
                     for (i, _), k, p in zip(ready, best.tolist(), post.tolist(), strict=True):
                         lang[i], score[i] = model.langs[k], min(1.0, p)
-                held = part if whole else part.select(["doc_id"])
-                yield pa.RecordBatch.from_arrays([*held.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*held.schema.names, "lang_pred", "score"])
+                rest = part if whole else part.select(["doc_id"])
+                yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*rest.schema.names, "lang_pred", "score"])
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -1,14 +1,18 @@
 """Personal data replaced by format-preserving pseudonyms, with SQL functions only.
 
 Numbers and dates are first validated (card numbers by the Luhn sum, IBANs modulo 97, dates by the calendar, social
-security numbers, telephone numbers and IPv4 addresses by their ranges) and then permuted under a key within their format: the
+security numbers, telephone numbers and IPv4 addresses by their ranges; ten bare digits only after a word for a telephone) and then permuted under a key within their format: the
 value is split into two numbers below a and b, and ten Feistel rounds add a keyed SHA-256 of one, modulo a or b, to the other.
 That is a bijection of the valid values, so equal values stay equal across documents, different ones stay different, lengths
 and separators stay, and check digits are worked out anew.  E-mail addresses and secrets are no numbers: their letters and
 digits come from a keyed hash, again the same one for the same value.
 
+A date in figures that is one only with the month first (12/31/2020) is permuted among such dates, by class of its day, so that it never
+meets a date with the day first.
+
 Rules: null text stays null, empty text stays empty; digits that validate as nothing stay as they are; where patterns could
-overlap the earlier kind in KINDS wins; text around a match is kept byte for byte.  Repeated rows are treated alike.
+overlap the earlier kind in KINDS wins; text around a match is kept byte for byte.  Texts and secrets of any length are read
+whole.  Repeated rows are treated alike, an empty table gives an empty one, and columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh, table
 
 #: The default key of tests and queries; a deployment passes its own.
 KEY = "colloquy-demo-key"
@@ -26,15 +30,18 @@ ROUNDS = 10
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: In this order; the pattern of each kind.
 KINDS = {
-    "secret": r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9_+/-]{16,200}+["']?)|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,64}\b""",
+    "secret": r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9_+/-]{16,}+["']?)|\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+|\bsk-[A-Za-z0-9_-]{20,}+""",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![\p{L}\p{N}])",
     "iban": r"\b[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})\b",
-    "phone": r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+    "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?[ .-]?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    r"|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<=(?i:phone|tel|call|mobile|cell)[ .:#]{1,3})[2-9]\d{2}[2-9]\d{6}(?!\d)",
     "card": r"(?<![\d.-])(?:\d{13,19}|\d{4}([ -])\d{4}\g1\d{4}\g1\d{4}|\d{4}([ -])\d{6}\g2\d{5})(?![\d-])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
 }
+#: Country codes of one, two and three digits (fixed values).
+_COUNTRY = "[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 #: Dates are days from this day on; their number is 17 * 4297, the days of 1900 to 2099.
 _DAY_ZERO, _DAYS = "1900-01-01", (17, 4297)
 
@@ -105,7 +112,7 @@ def _replacements(key: str) -> list[tuple[str, str, str]]:
     """(kind, condition on m, replacement of m): SQL text; the condition tells the kind and validates."""
     d = _only_digits("m")
     compact = "replace(m, ' ', '')"
-    country = "regexp_extract(m, '^[+]([0-9]{1,3})', 1)"
+    country = f"regexp_extract(m, '^[+]({_COUNTRY})', 1)"
     national = f"substr({d}, length({country}) + 1)"
     date = """coalesce(try_to_date(m, 'yyyy-MM-dd'), try_to_date(m, 'dd/MM/yyyy'), try_to_date(m, 'dd.MM.yyyy'))"""
     form = "case when m like '%-%' then 'yyyy-MM-dd' when m like '%/%' then 'dd/MM/yyyy' else 'dd.MM.yyyy' end"
@@ -130,6 +137,17 @@ def _replacements(key: str) -> list[tuple[str, str, str]]:
     ssn = _feistel(key, "ssn", f"{area} - if({area} > 666, 2, 1)", "(cast(substr(m, 5, 2) as bigint) - 1) * 9999 + cast(substr(m, 8) as bigint) - 1", "898", "989901")
     permuted_ip = _feistel(key, "ipv4", f"{octet(1)} * 256 + {octet(2)}", f"{octet(3)} * 256 + {octet(4)}", "65536", "65536")
     days = _feistel(key, "date", f"{day} div {_DAYS[1]}", f"{day} % {_DAYS[1]}", str(_DAYS[0]), str(_DAYS[1]))
+    year, month, day_of = ("cast(substr(m, 7) as bigint)", "cast(substr(m, 1, 2) as bigint)", "cast(substr(m, 4, 2) as bigint)")
+    month_first = "m like '%/%' and try_to_date(m, 'MM/dd/yyyy') between date'1900-01-01' and date'2099-12-31' and "
+    slashed = lambda mm, dd, yy: f"concat(lpad(cast({mm} as string), 2, '0'), '/', lpad(cast({dd} as string), 2, '0'), '/', cast({yy} as string))"
+    long_months = "array(1, 3, 5, 7, 8, 10, 12)"
+    # classes of days that only the second place can hold: 13 to 28 of any month, 29 February, other 29ths and 30ths, 31sts
+    american = [
+        (f"{day_of} <= 28", _feistel(key, "date 28", f"{year} - 1900", f"({month} - 1) * 16 + {day_of} - 13", "200", "192"), slashed("p_.r div 16 + 1", "p_.r % 16 + 13", "p_.l + 1900")),
+        (f"{month} = 2", _feistel(key, "date 29", f"({year} - 1904) div 28", f"({year} - 1904) div 4 % 7", "7", "7"), slashed("2", "29", "p_.l * 28 + p_.r * 4 + 1904")),
+        (f"{day_of} <= 30", _feistel(key, "date 30", f"{year} - 1900", f"{month} - if({month} > 2, 2, 1)", "200", "11"), slashed("p_.r + if(p_.r > 0, 2, 1)", day_of, "p_.l + 1900")),
+        ("true", _feistel(key, "date 31", f"{year} - 1900", f"array_position({long_months}, cast({month} as int)) - 1", "200", "7"), slashed(f"element_at({long_months}, cast(p_.r + 1 as int))", "31", "p_.l + 1900")),
+    ]
     shown = lambda kind: f"rlike(m, {_quoted('^(?:' + _alone(KINDS[kind]) + ')$')})"
     return [
         ("email", "m like '%@%'", f"concat('p', substr({mail}, 1, 12), '@d', substr({mail}, 13, 8), '.example')"),
@@ -138,6 +156,7 @@ def _replacements(key: str) -> list[tuple[str, str, str]]:
         ("phone", f"{shown('phone')} and length({d}) between 7 and 15 and length({national}) >= 2", _refilled("m", f"concat({country}, {_digits_permuted(key, 'phone', national)})")),
         ("ssn", f"{shown('ssn')} and {area} between 1 and 899 and {area} <> 666 and substr(m, 5, 2) <> '00' and substr(m, 8) <> '0000'", _let(ssn, "p_", "concat(lpad(cast(p_.l + if(p_.l >= 665, 2, 1) as string), 3, '0'), '-', lpad(cast(p_.r div 9999 + 1 as string), 2, '0'), '-', lpad(cast(p_.r % 9999 + 1 as string), 4, '0'))")),
         ("date", f"{shown('date')} and {date} between date'{_DAY_ZERO}' and date'2099-12-31'", _let(days, "p_", f"date_format(date_add(date'{_DAY_ZERO}', cast(p_.l * {_DAYS[1]} + p_.r as int)), {form})")),
+        *(("date", f"{shown('date')} and {month_first}{which}", _let(made, "p_", new)) for which, made, new in american),
         ("card", f"{shown('card')} and {_luhn(d, 1)} % 10 = 0", _refilled("m", _let(_digits_permuted(key, "card", f"substr({d}, 1, length({d}) - 1)"), "q_", f"concat(q_, cast((10 - {_luhn('q_', 2)} % 10) % 10 as string))"))),
         ("ipv4", shown("ipv4"), _let(permuted_ip, "p_", "concat_ws('.', cast(p_.l div 256 as string), cast(p_.l % 256 as string), cast(p_.r div 256 as string), cast(p_.r % 256 as string))")),
     ]
@@ -145,34 +164,46 @@ def _replacements(key: str) -> list[tuple[str, str, str]]:
 
 def _alone(body: str) -> str:
     """A kind's pattern for a match taken out of its text: without a look at what stood around it, and with its own group numbers."""
-    body = re.sub(r"\\g(\d)", r"\\\1", body)
-    return re.sub(r"\(\?<?!(?:[^()\[\]]|\[[^\]]*\])*\)", "", body)
-
-
-def _made(key: str) -> Column:
-    """From found_, an array of matches: array<struct<kind, was, now>>; kind is null for matches that don't validate."""
+    out, body = "", re.sub(r"\\g(\d)", r"\\\1", body)
+    while look := re.search(r"\(\?<?[!=]", body):
+        depth, end, listed = 1, look.end(), False
+        while depth:
+            c = body[end]
+            if c == "\\":
+                end += 1
+            elif listed or c == "[":
+                listed = c != "]"
+            else:
+                depth += (c == "(") - (c == ")")
+            end += 1
+        out, body = out + body[: look.start()], body[end:]
+    return out + body
+
+
+def _made(key: str, found: str) -> Column:
+    """From the column found, an array of matches: array<struct<kind, was, now>>; kind is null for matches that don't validate."""
     rules = _replacements(key)
-    kind = "case " + " ".join(f"when {cond} then {_quoted(name)}" for name, cond, _ in rules) + " end"
-    now = "case k " + " ".join(f"when {_quoted(name)} then {new}" for name, _, new in rules) + " else m end"
-    return F.expr("transform(found_, m -> " + _let(f"({kind})", "k", f"named_struct('kind', k, 'was', m, 'now', {now})") + ")")
+    rule = "case " + " ".join(f"when {cond} then {i}" for i, (_, cond, _) in enumerate(rules)) + " end"
+    kind = "case k " + " ".join(f"when {i} then {_quoted(name)}" for i, (name, _, _) in enumerate(rules)) + " end"
+    now = "case k " + " ".join(f"when {i} then {new}" for i, (_, _, new) in enumerate(rules)) + " else m end"
+    return F.expr(f"transform(`{found}`, m -> " + _let(f"({rule})", "k", f"named_struct('kind', {kind}, 'was', m, 'now', {now})") + ")")
 
 
 def replace_pii(docs: DataFrame, key: str = KEY, *, spans: bool = False) -> DataFrame:
     """docs with text pseudonymised; with spans=True also pii array<struct<kind, was, now>> of what was replaced.
 
-    All other columns are kept.
+    All other columns are kept; a column pii makes way for that of spans=True.
     """
-    found = F.regexp_extract_all("text", F.lit(pattern()), F.lit(1))
-    # texts without a digit or an at sign hold nothing that any kind matches, and skip the patterns (secrets in letters only hold no digit: the key words are looked for)
-    likely = F.col("text").rlike(r"[0-9@]|(?i:token|secret|passw|key)")
-    out = docs.withColumn("found_", F.when(likely, found))
-    out = out.withColumn("pii_", F.when(F.size("found_") > 0, _made(key)))
+    found = fresh(docs, "found")
+    made = fresh(docs, "made")
+    out = docs.withColumn(found, F.regexp_extract_all("text", F.lit(pattern()), F.lit(1)))
+    out = out.withColumn(made, F.when(F.size(found) > 0, _made(key, found)))
     pieces = F.split("text", pattern(), -1)
-    joined = F.concat_ws("", F.flatten(F.zip_with(pieces, F.col("pii_"), lambda p, r: F.array(p, F.coalesce(r["now"], F.lit(""))))))
-    out = out.withColumn("text", F.when(F.size("pii_") > 0, joined).otherwise(F.col("text")))
+    joined = F.concat_ws("", F.flatten(F.zip_with(pieces, F.col(made), lambda p, r: F.array(p, F.coalesce(r["now"], F.lit(""))))))
+    out = out.withColumn("text", F.when(F.size(made) > 0, joined).otherwise(F.col("text")))
     if spans:
-        out = out.withColumn("pii", F.coalesce(F.filter("pii_", lambda r: r["kind"].isNotNull()), F.expr("cast(array() as array<struct<kind string, was string, now string>>)")))
-    return out.drop("found_", "pii_")
+        out = out.withColumn("pii", F.coalesce(F.filter(made, lambda r: r["kind"].isNotNull()), F.expr("cast(array() as array<struct<kind string, was string, now string>>)")))
+    return out.drop(found, made)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

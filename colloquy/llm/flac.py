@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import column, slices, table
+from .common import column, give_back, slices, table
 
 BLOCK = 576
 RATE = 8000
@@ -331,7 +331,8 @@ def decode_bodies(raw: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _frames(stream: bytes, first: int, count: int) -> list[int]:
-    """Where each frame of a stream begins: sync code and the expected number, with a matching CRC-8."""
+    """Where each frame of a stream probably begins: sync code and the expected number, with a matching CRC-8.  The same bytes
+    may stand inside a frame, so lengths and CRC-16 decide."""
     starts, at = [], first
     for number in range(count):
         head = _header(number)
@@ -343,13 +344,37 @@ def _frames(stream: bytes, first: int, count: int) -> list[int]:
     return starts
 
 
-def decode(streams: list[bytes]) -> list[bytes]:
-    """The payloads of streams, with every checksum verified."""
-    infos = [parse(s) for s in streams]
-    counts = [-(-i["samples"] // BLOCK) for i in infos]
+def _frame(stream: bytes, at: int, number: int) -> tuple[bytes, int]:
+    """(samples, where the next frame begins) of the frame that begins at a place: its end is where decoding ends."""
+    head = _header(number)
+    if stream[at : at + len(head)] != head:
+        raise FlacError(f"frame {number} isn't found or its header's CRC-8 is wrong")
+    window = 4 * BLOCK
+    while True:
+        raw = np.frombuffer(stream[at : at + window], np.uint8)[None, :]
+        try:
+            samples, end = decode_bodies(raw, np.array([len(head)]))
+            after = int(end[0]) + 2
+            if after <= raw.shape[1]:
+                break
+        except (FlacError, IndexError, ValueError):
+            if at + window >= len(stream):
+                raise FlacError(f"frame {number} is cut off or damaged") from None
+        if at + window >= len(stream):
+            raise FlacError(f"frame {number} is cut off")
+        window *= 8
+    if crc16_many(raw[:, :after], np.array([after]))[0]:
+        raise FlacError("a frame's CRC-16 is wrong")
+    if (samples < -128).any() or (samples > 127).any():
+        raise FlacError("a sample is out of range")
+    return samples[0].astype(np.int8).tobytes(), at + after
+
+
+def _decode_together(streams: list[bytes], infos: list[dict]) -> list[bytes]:
+    """The samples of streams, their frames cut at the headers that are found, and many decoded at once."""
     jobs = []
-    for s, (stream, info, count) in enumerate(zip(streams, infos, counts, strict=True)):
-        starts = _frames(stream, info["first"], count)
+    for s, (stream, info) in enumerate(zip(streams, infos, strict=True)):
+        starts = _frames(stream, info["first"], -(-info["samples"] // BLOCK))
         jobs += [(s, a, b, len(_header(k))) for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(stream)], strict=True))]
     parts: list[list[bytes]] = [[] for _ in streams]
     for r in range(0, len(jobs), RUN):
@@ -365,9 +390,37 @@ def decode(streams: list[bytes]) -> list[bytes]:
             raise FlacError("a sample is out of range")
         for (s, *_), row in zip(run, samples.astype(np.int8), strict=True):
             parts[s].append(row.tobytes())
+    return [b"".join(own) for own in parts]
+
+
+def _decode_frame_by_frame(stream: bytes, info: dict) -> bytes:
+    out, at = [], info["first"]
+    for number in range(-(-info["samples"] // BLOCK)):
+        samples, at = _frame(stream, at, number)
+        out.append(samples)
+    if at != len(stream):
+        raise FlacError("there is something behind the last frame")
+    return b"".join(out)
+
+
+def decode(streams: list[bytes]) -> list[bytes]:
+    """The payloads of streams, with every checksum verified.
+
+    If cutting at headers fails for any of them, which a header's bytes inside a frame can cause, they are walked frame by frame.
+    """
+    infos = [parse(s) for s in streams]
+    try:
+        parts = _decode_together(streams, infos)
+    except (FlacError, IndexError, ValueError):
+        parts = []
+        for stream, info in zip(streams, infos, strict=True):
+            try:
+                parts += _decode_together([stream], [info])
+            except (FlacError, IndexError, ValueError):
+                parts.append(_decode_frame_by_frame(stream, info))
     out = []
-    for info, own in zip(infos, parts, strict=True):
-        signed = b"".join(own)[: info["samples"]]
+    for info, samples in zip(infos, parts, strict=True):
+        signed = samples[: info["samples"]]
         if hashlib.md5(signed).digest() != info["md5"]:
             raise FlacError("the samples' MD5 is wrong")
         out.append((np.frombuffer(signed, np.uint8) ^ 0x80).tobytes())
@@ -381,18 +434,11 @@ def read_block(stream: bytes, sample: int) -> tuple[int, bytes]:
         raise FlacError("no such sample")
     point = max((p for p in info["seek"] if p[0] <= sample), default=(0, 0, BLOCK))
     number, at = point[0] // BLOCK, info["first"] + point[1]
-    while (number + 1) * BLOCK <= sample:
-        number += 1
-        at = stream.find(_header(number), at)
-    head = _header(number)
-    if stream[at : at + len(head)] != head:
-        raise FlacError("the seek table or a frame header is wrong")
-    after = stream.find(_header(number + 1), at + len(head)) if (number + 1) * BLOCK < info["samples"] else len(stream)
-    raw = np.frombuffer(stream[at:after], np.uint8)[None, :]
-    if crc16_many(raw, np.array([raw.shape[1]]))[0]:
-        raise FlacError("a frame's CRC-16 is wrong")
-    samples, _ = decode_bodies(raw, np.array([len(head)]))
-    return number * BLOCK, (samples[0].astype(np.int8).view(np.uint8) ^ 0x80).tobytes()
+    while True:
+        samples, after = _frame(stream, at, number)
+        if (number + 1) * BLOCK > sample:
+            return number * BLOCK, (np.frombuffer(samples, np.uint8) ^ 0x80).tobytes()
+        number, at = number + 1, after
 
 
 def pad(text: str | None) -> tuple[int, bytes]:
@@ -432,6 +478,7 @@ def media(docs: DataFrame, *, blocks: bool = False) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 names = [c.split()[0] for c in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, sample_offset long, pcm binary, media binary" if blocks else SCHEMA)
 

@@ -120,3 +120,29 @@ def test_blocks(spark, documents):
     assert [r.sample_offset for r in rows] == [0, 576, 1152] and b"".join(bytes(r.pcm) for r in rows)[:1300] == b"b" * 1300
     assert flac.decode([bytes(rows[0].media)]) == [b"".join(bytes(r.pcm) for r in rows)]
     assert flac.media(documents()).count() == 0
+
+
+def test_a_header_inside_a_frame():
+    """Samples whose bytes, or Rice bits, look like the next frame's header."""
+    rng = np.random.default_rng(5)
+    noise = bytearray(rng.integers(0, 256, 576 * 3, dtype=np.uint8).tobytes())
+    head = flac._header(1)
+    for at in (100, 300):
+        noise[at : at + len(head)] = bytes(b ^ 0x80 for b in head)
+    payload = bytes(noise)
+    (stream,) = flac.encode([payload])
+    assert stream.count(head) == 3  # verbatim samples hold it as it is
+    assert flac.decode([stream]) == [payload]
+    assert flac.decode([stream, *flac.encode(payloads())]) == [payload, *payloads()]
+    for sample in (0, 576, 1700):
+        assert flac.read_block(stream, sample) == (sample // 576 * 576, payload[sample // 576 * 576 :][:576])
+    for at in range(len(stream) - 600, len(stream), 37):
+        bad = bytearray(stream)
+        bad[at] ^= 4
+        with pytest.raises(flac.FlacError):
+            flac.decode([bytes(bad)])
+
+
+def test_clashing_names_and_two_texts_of_one_id(documents):
+    docs = documents((1, "a"), (1, "b"), (None, None)).withColumnRenamed("lang", "feature").withColumnRenamed("source", "n_bytes")
+    assert sorted(r.n_bytes for r in flac.media(docs).collect()) == [0, 1, 1]

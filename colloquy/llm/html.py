@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import column, slices, table
+from .common import column, give_back, shared, slices, table
 
 TRAIN_PAGES, STEPS, RATE = 500, 80, 0.3
 CUT = 0.5
@@ -37,7 +37,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 #: Elements whose contents are passed over as a whole.
-_SKIP = {"script", "style", "title", "noscript", "template", "textarea", "select", "button", "iframe", "object", "svg", "math", "canvas", "audio", "video", "noembed", "noframes", "datalist"}
+_SKIP = {"script", "style", "title", "noscript", "template", "textarea", "select", "button", "iframe", "svg", "canvas", "audio", "video", "noembed", "noframes", "datalist"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Block elements: each is a node of the tree.
 _BLOCK = set(
@@ -465,13 +465,14 @@ def train(pages: list[tuple[str, set[str]]] | None = None) -> Model:
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
-    shared = pages.sparkSession.sparkContext.broadcast(model or train())
+    held = shared(pages.sparkSession, model or train())
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html", 1_000_000):
-                texts = shared.value.main_text(column(part, "html"))
+                texts = held.value.main_text(column(part, "html"))
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        give_back()
 
     return pages.mapInArrow(run, SCHEMA)
 

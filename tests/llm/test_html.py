@@ -69,3 +69,8 @@ def test_table(spark, model):
     out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"), model).collect()
     assert sorted(r.n_chars for r in out) == [0, 0, 39, 39] and all(r.n_chars == len(r.text) for r in out)
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string"), model).count() == 0
+
+
+def test_formulas_and_objects_inside_an_article_are_text(model):
+    page = PAGE.format("<p>The law <math><mi>E</mi>=<mi>m</mi></math> holds, as <object>this figure</object> shows.</p>")
+    assert model.main_text([page])[0].endswith("The law E=m holds, as this figure shows.")

@@ -6,7 +6,9 @@ flat arrays, and a batch goes down all trees together by index arithmetic.  scor
 label 1; predicted is 1 from `cut` on.
 
 Rules: null and empty texts have all statistics zero and get the score that follows from them; with no labels, or labels
-of one kind, every score is that kind's share (1 without labels).  Rows stay as they are; other columns are ignored.
+of one kind, every score is that kind's share (1 without labels).  Texts of any length are read whole, about two megabytes of text
+or one longer text in memory at a time; an empty table gives an empty one.  Rows stay as they are, repeated ones too; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, crc_mod, slices, table, words
+from .common import column, crc_mod, give_back, shared, slices, table, words
 from .labelled import sample
 
 MAX_ROWS = 8000
@@ -136,13 +138,14 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, max_ro
 
 def classify(docs: DataFrame, trees: Trees, *, cut: float = CUT) -> DataFrame:
     docs = docs.select("doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    held = shared(docs.sparkSession, trees)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                p = shared.value.score(statistics(column(part, "text")))
+                p = held.value.score(statistics(column(part, "text")))
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(p), pa.array((p >= cut).astype(np.int32))], ["doc_id", "score", "predicted"])
+        give_back()
 
     return docs.mapInArrow(run, SCHEMA)
 

@@ -6,7 +6,9 @@ then two numbers scale the score to a probability on rows that the weights haven
 the base rules and its probability of quality 1 is at least KEEP.
 
 Rules: null and empty texts have no words and fail the base rules; with no labels, or labels of one kind only, the
-verdict is the base rules' alone (probability 1).  Rows stay as they are; columns beyond doc_id and text are ignored.
+verdict is the base rules' alone (probability 1).  Texts of any length are read whole, about two megabytes of text or one longer
+text in memory at a time; an empty table gives an empty one.  Rows stay as they are, repeated ones too; columns beyond doc_id and
+text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import column, hash_words, mix64, slices, table, words
+from .common import column, give_back, hash_words, mix64, shared, slices, table, words
 from .labelled import sample
 
 BITS = 13
@@ -64,10 +66,12 @@ def features(split: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
     pairs = mix64(hashed[pair] * np.uint64(3) + hashed[pair + 1])
     raw = [" ".join(ws).encode("utf-8", "replace") + b"   " for ws in split]
     size = np.array([len(r) for r in raw])
-    flat = np.frombuffer(b"".join(raw) + b"   ", np.uint8).astype(np.uint32)
+    flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    of = np.repeat(np.arange(len(split)), size)[:-3]
+    own = np.flatnonzero(of == np.repeat(np.arange(len(split)), size)[3:])  # those that don't reach into the next text
     gram = flat[:-3] | flat[1:-2] << np.uint32(8) | flat[2:-1] << np.uint32(16) | flat[3:] << np.uint32(24)
     grams = (gram * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-    return [((hashed >> shift).astype(np.int64), doc), ((pairs >> shift).astype(np.int64), doc[pair]), (grams.astype(np.int64), np.repeat(np.arange(len(split)), size))]
+    return [((hashed >> shift).astype(np.int64), doc), ((pairs >> shift).astype(np.int64), doc[pair]), (grams[own].astype(np.int64), of[own])]
 
 
 @dataclass
@@ -159,10 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
 def judge(docs: DataFrame, model: Model | None, *, keep: float = KEEP) -> DataFrame:
     """The base counts and the verdict for every whole text of docs (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
 
     def run(batches):
-        model = shared.value
+        model = held.value
         for batch in batches:
             for part in slices(batch):
                 texts = column(part, "text")
@@ -175,6 +179,7 @@ def judge(docs: DataFrame, model: Model | None, *, keep: float = KEEP) -> DataFr
                 failed = (counts[:, 0] < MIN_WORDS) | (100 * counts[:, 4] > MAX_REPEAT_PERCENT * counts[:, 0])
                 names = [c.split()[0] for c in SCHEMA.split(", ")]
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), *(pa.array(counts[:, k]) for k in range(5)), pa.array(failed), pa.array(~failed & (p >= keep)), pa.array(p)], names)
+        give_back()
 
     return docs.mapInArrow(run, SCHEMA)
 

@@ -86,3 +86,70 @@ def test_traversal_equals_walking():
                 node = 2 * node + 1 + (row[trees.feature[t, node]] > trees.threshold[t, node])
             z += trees.leaf[t, node - trees.feature.shape[1]]
         assert np.isclose(got, 1 / (1 + np.exp(-z)))
+
+
+def test_verdict_by_brute_force(documents, spark):
+    """Each text alone, n-grams counted in dictionaries, against texts judged together."""
+    from colloquy.llm.common import hash_words, mix64
+
+    rows, labels = corpus()
+    docs = documents(*rows)
+    model = rules.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r for r in rules.judge(docs, model).collect()}
+    for i, text in rows[:40]:
+        ws = text.split()
+        h = [int(x) for x in hash_words(ws)]
+        raw = " ".join(ws).encode() + b"   "
+        families = [
+            [x >> 51 for x in h],
+            [int(mix64(np.array([(a * 3 + b) % 2**64], np.uint64))[0]) >> 51 for a, b in zip(h, h[1:], strict=False)],
+            [int.from_bytes(raw[k : k + 4], "little") * 2654435761 % 2**32 >> 19 for k in range(len(raw) - 3)],
+        ]
+        z = model.bias
+        for f, grams in enumerate(families):
+            for bucket, n in Counter(grams).items():
+                z += model.weights[(f << rules.BITS) + bucket] * n / len(grams)
+        p = 1 / (1 + np.exp(-(model.slope * z + model.offset)))
+        assert np.isclose(got[i].p_good, p) and got[i].kept == (not got[i].base_failed and p >= 0.3)
+
+
+def test_growing_finds_the_best_splits():
+    """The first tree's first two levels against every split tried."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 12, (120, 4)).astype(float)
+    y = ((x[:, 1] > 5) ^ (x[:, 2] > 8)).astype(float)
+    trees = boosting.grow(x, y, trees=1, least=0.5)
+    share = (y.sum() + 0.5) / (len(y) + 0.5)
+    g, h = y - share, np.full(len(y), share * (1 - share))
+
+    def best(rows):
+        top = 0.0
+        for k in range(4):
+            for cut in np.unique(x[:, k]):
+                left = rows & (x[:, k] <= cut)
+                right = rows & ~left
+                if min(h[left].sum(), h[right].sum()) >= 0.5:
+                    top = max(top, g[left].sum() ** 2 / (h[left].sum() + 1) + g[right].sum() ** 2 / (h[right].sum() + 1))
+        return top
+
+    def own(rows, node):
+        left = rows & (x[:, trees.feature[0, node]] <= trees.threshold[0, node])
+        right = rows & ~left
+        return left, right, g[left].sum() ** 2 / (h[left].sum() + 1) + g[right].sum() ** 2 / (h[right].sum() + 1)
+
+    every = np.ones(len(y), bool)
+    left, right, gain = own(every, 0)
+    assert np.isclose(gain, best(every))
+    for rows, node in ((left, 1), (right, 2)):
+        assert np.isclose(own(rows, node)[2], best(rows))
+
+
+def test_clashing_names_long_texts_and_empty_tables(spark, documents):
+    rows, labels = corpus()
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = documents(*rows, (900, "river stone " * 60_000), (900, "another text"), (None, None)).withColumnRenamed("lang", "label").withColumnRenamed("source", "score").withColumnRenamed("n_chars", "quality")
+    judged = rules.judge(docs, rules.train(docs, labels)).collect()
+    assert len(judged) == len(rows) + 3 and next(r for r in judged if r.n_words == 120_000).base_failed
+    classified = boosting.classify(docs, boosting.train(docs, labels)).collect()
+    assert len(classified) == len(rows) + 3 and all(0 <= r.score <= 1 for r in classified)
+    assert rules.judge(documents(), None).count() == 0 and boosting.classify(documents(), boosting.train(documents(), labels)).count() == 0

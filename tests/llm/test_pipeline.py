@@ -80,6 +80,41 @@ def test_mixing_decides_positions(spark, folder, monkeypatch):
     assert order == sorted(order) and len(set(order)) > 3
 
 
+def test_rows_that_share_an_id_and_clashing_names(spark, documents):
+    long = " ".join(f"word{i}" for i in range(40))
+    rows = [(7, long), (7, "another text of its own kind"), (3, long + " end"), (None, long), (None, "a third text without any id"), (9, "a third text without any id"), (None, ""), (None, None)]
+    docs = documents(*[(i, t, "en", "s") for i, t in rows]).withColumnRenamed("lang", "file").withColumnRenamed("n_chars", "row")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, long + " end"), (7, "another text of its own kind"), (9, "a third text without any id"), (None, ""), (None, None)], key=str)
+    beyond = corpus_pipeline.BROADCAST_GONE
+    corpus_pipeline.BROADCAST_GONE = 0
+    try:
+        assert corpus_pipeline.near_duplicates(spark, docs, "").count() == 5
+    finally:
+        corpus_pipeline.BROADCAST_GONE = beyond
+
+
+def test_the_key_of_pseudonyms_is_a_setting(spark, documents):
+    docs = documents((1, "card 4111111111111111", "en"))
+    plain = corpus_pipeline.personal_data(spark, docs, "").first().text
+    spark.conf.set(corpus_pipeline.KEY_SETTING, "another")
+    try:
+        assert corpus_pipeline.personal_data(spark, docs, "").first().text != plain
+    finally:
+        spark.conf.unset(corpus_pipeline.KEY_SETTING)
+
+
+def test_nothing_is_left_behind(spark, folder):
+    import os
+    import re
+
+    shared = re.sub("^file:", "", spark.conf.get("spark.checkpoint.dir"))
+    before = {f for f in os.listdir(shared) if not f.endswith(".zip")}
+    corpus_pipeline.run(spark, folder(corpus())).count()
+    assert len({f for f in os.listdir(shared) if not re.search(r"\.(zip|crc)$", f)} - before) == 1  # the result
+
+
 def test_empty(spark, folder):
     assert corpus_pipeline.run(spark, folder([])).count() == 0
 

@@ -9,33 +9,39 @@ shape's training counts, and unseen words together take 0.5: all probabilities s
 
 Weights are learned by rounds of distributed gradient updates: each task runs Adagrad over its documents from the shared
 weights, and the weighted mean of the tasks' weights starts the next round.  Every training document is learned from in one of the rounds;
-a task reads its documents as a stream, a batch in memory at a time.  Word counts are exact and over all training documents: the most frequent words
-are counted in an array per task, all others as (word hash, document, count) rows, shuffled once by word and summed back by document.
+a task reads its part of the table as a stream, a batch in memory at a time, and texts aren't shuffled; changes are added up in two steps.  Word counts are exact and over all training documents: the most frequent words
+are counted in an array per task, all others as (word hash, row, count) rows, added up by word and joined back by row.
 
 Rules: null text is the empty text, whose only token is the end; an empty corpus gives an empty result; a null doc_id's fold
-is that of ''.  A doc_id names one text: rows that repeat it are scored each and count each.  Other columns are ignored.
+is that of ''.  Rows are told apart by their place in the table, so that rows of one doc_id may hold different texts; repeated rows are scored
+each and count each.  Texts of any length are read whole, about a megabyte or one longer text in memory at a time.  Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, crc_mod, drop_stored, hash_words, slices, stored, table, words
+from .common import column, crc_mod, drop_stored, give_back, hash_words, shared, slices, stored, table, with_row_ids, words, working
 
 #: Words that are counted in arrays; the bound of what is broadcast.
 HEAD = 100_000
 SHAPES, SIDE = 128, 32
 ITEMS = SIDE * SIDE
 BEGIN = ITEMS
-#: Weight rows of the two softmaxes.
-ROWS1, ROWS2 = 8192, 1 << 15
+#: Weight rows of the two softmaxes; the first has a bias, the three words before, and hashed pairs of the last two.
+PAIRS = 8192
+_WORD1, _WORD2, _WORD3, _PAIR = (1 + k * (ITEMS + 1) for k in range(4))
+ROWS1, ROWS2 = _PAIR + PAIRS, 1 << 15
 ROUNDS, BATCH, RATE = 3, 4096, 0.3
 #: Training documents per task.
 TASK_DOCS = 2000
@@ -92,8 +98,8 @@ def _sequence(doc: np.ndarray, item: np.ndarray, n: int) -> tuple[np.ndarray, np
         b[at < k] = BEGIN
         back.append(b)
     a, b, c = back
-    pair = (a * 40503 + b * 10007 + (a * b) % 8191) % (ROWS1 - 3300)
-    return of, target, np.stack([np.zeros(total, np.int64), 1 + a, 1100 + b, 2200 + c, 3300 + pair], 1)
+    pair = (a * 40503 + b * 10007 + (a * b) % 8191) % PAIRS
+    return of, target, np.stack([np.zeros(total, np.int64), _WORD1 + a, _WORD2 + b, _WORD3 + c, _PAIR + pair], 1)
 
 
 def _second(features: np.ndarray, klass: np.ndarray) -> np.ndarray:
@@ -176,6 +182,7 @@ def choose_head(docs: DataFrame, most: int = HEAD) -> list[str]:
                 yield _counted(seen)
                 seen = Counter()
         yield _counted(seen)
+        give_back()
 
     found = docs.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
     return found.select("word").toPandas()["word"].tolist()
@@ -187,14 +194,13 @@ def _counted(seen: Counter) -> pa.RecordBatch:
 
 def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float = RATE) -> Weights:
     """Distributed gradient updates over docs (doc_id, text), each of them in one of the rounds."""
-    context = docs.sparkSession.sparkContext
-    weights, known = Weights(), context.broadcast(head)
-    n = docs.count()
-    tasks = max(2, -(-n // (rounds * TASK_DOCS)))
+    spark, weights = docs.sparkSession, Weights()
+    tasks = max(2, -(-docs.count() // (rounds * TASK_DOCS)))
+    steps = math.isqrt(tasks) + 1
 
-    def run_with(shared):
+    def run_with(known, held):
         def run(batches):
-            own, lookup = Weights.join(shared.value), Words(known.value)
+            own, lookup = Weights.join(held.value), Words(known.value)
             squares, seen = [np.zeros_like(own.one), np.zeros_like(own.two)], 0
             for batch in batches:
                 for part in slices(batch, most=500_000):
@@ -206,26 +212,33 @@ def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float
                         own.learn(target[mixed[a : a + BATCH]], features[mixed[a : a + BATCH]], squares, rate)
                     seen += len(target)
             if seen:  # what changed, weighted by the tokens learned from; untouched pieces aren't sent
-                start = Weights.join(shared.value)
+                start = Weights.join(held.value)
                 change = (seen * (own.flat() - start.flat()).astype(np.float64)).astype(np.float32)
                 made = [(i, zlib.compress(c.tobytes(), 1)) for i, a in enumerate(range(0, len(change), _PIECE)) if (c := change[a : a + _PIECE]).any()]
                 made.append((-1, np.float64(seen).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in made], pa.int32()), pa.array([b for _, b in made], pa.binary())], ["piece", "change"])
+                step = TaskContext.get().partitionId() % steps
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in made], pa.int32()), pa.array([step] * len(made), pa.int32()), pa.array([b for _, b in made], pa.binary())], ["piece", "step", "change"])
+            give_back()
 
         return run
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        piece, total = int(pdf["piece"].iloc[0]), 0.0
-        for c in pdf["change"]:
-            total = total + (np.frombuffer(c, np.float64) if piece < 0 else np.frombuffer(zlib.decompress(c), np.float32).astype(np.float64))
-        return pd.DataFrame({"piece": [piece], "change": [total.tobytes()]})
+    def add(first: bool):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            piece, total = int(pdf["piece"].iloc[0]), 0.0
+            for c in pdf["change"]:
+                total = total + (np.frombuffer(zlib.decompress(c), np.float32).astype(np.float64) if first and piece >= 0 else np.frombuffer(c, np.float64))
+            return pd.DataFrame({"piece": [piece], "step": [0], "change": [total.tobytes()]})
 
+        return run
+
+    shape = "piece int, step int, change binary"
     for r in range(rounds):
-        part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds)) == r)
-        changes = part.repartition(tasks).mapInArrow(run_with(context.broadcast(weights.pieces())), "piece int, change binary")
-        summed = stored(changes.groupBy("piece").applyInPandas(add, "piece int, change binary"))  # frees the round's shuffle files
-        done = {d.piece: np.frombuffer(bytes(d.change), np.float64) for d in summed.collect()}
-        drop_stored(summed)
+        with working():
+            part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rounds)) == r)
+            changes = part.coalesce(tasks).mapInArrow(run_with(shared(spark, head), shared(spark, weights.pieces())), shape)
+            # about the root of the tasks' number in a group
+            summed = stored(changes.groupBy("piece", "step").applyInPandas(add(True), shape).groupBy("piece").applyInPandas(add(False), shape))
+            done = {d.piece: np.frombuffer(bytes(d.change), np.float64) for d in summed.collect()}
         if -1 in done:
             flat = Weights.join(weights.pieces()).flat().astype(np.float64)
             for i, change in done.items():
@@ -236,16 +249,18 @@ def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float
 
 
 def _count_words(docs: DataFrame, head: list[str]) -> DataFrame:
-    """Per document (kind 0: hash of a word outside the head with its shape in the low bits, doc_id, count; negative for
+    """Per row (kind 0: hash of a word outside the head with its shape in the low bits, the row's file and place, count; negative for
     held-out documents), and per task the training counts of head words (kind 1) and of other words by shape (kind 2)."""
-    known = docs.sparkSession.sparkContext.broadcast(head)
+    known = shared(docs.sparkSession, head)
+    names = ["kind", "key", "file", "row", "n"]
 
     def run(batches):
         lookup = Words(known.value)
         heads, shapes = np.zeros(len(lookup.head) + 1, np.int64), np.zeros(SHAPES, np.int64)
         for batch in batches:
             for part in slices(batch):
-                ids, train = part.column(0).cast(pa.int64()), np.array(column(part, "train"), np.bool_)
+                train = np.array(column(part, "train"), np.bool_)
+                file, row = (part.column(part.schema.get_field_index(c)) for c in ("file", "row"))
                 split = [tokens(t) for t in column(part, "text")]
                 doc, code, unique, index, _, shapes_of = lookup.look_up(split)
                 at, learned = index[code], train[doc]
@@ -259,54 +274,58 @@ def _count_words(docs: DataFrame, head: list[str]) -> DataFrame:
                 hashed = np.zeros(len(unique), np.uint64)
                 hashed[need] = hash_words([unique[i] for i in need])
                 word = (hashed[c] & ~np.uint64(SHAPES - 1)) | shapes_of[c].astype(np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(d), np.int8)), pa.array(word.view(np.int64)), ids.take(pa.array(d)), pa.array(np.where(train[d], n, -n))], ["kind", "key", "doc_id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(d), np.int8)), pa.array(word.view(np.int64)), file.take(pa.array(d)), row.take(pa.array(d)), pa.array(np.where(train[d], n, -n))], names)
         for kind, counts in ((1, heads), (2, shapes)):
             some = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int8)), pa.array(some), pa.nulls(len(some), pa.int64()), pa.array(counts[some])], ["kind", "key", "doc_id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int8)), pa.array(some), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), pa.array(counts[some])], names)
+        give_back()
 
-    return docs.mapInArrow(run, "kind byte, key long, doc_id long, n long")
+    return docs.mapInArrow(run, "kind byte, key long, file long, row long, n long")
 
 
-def _rest_of_documents(rows: DataFrame) -> DataFrame:
-    """Sums over the words outside the head: per document (kind 0, id) the terms n * log10(c + 0.5), known words and
-    words; per shape (kind 1, id) the number of different training words."""
-    by_word = Window.partitionBy("key")
-    rows = rows.where("kind = 0").select("key", "doc_id", "n")
-    rows = rows.withColumn("c", F.sum(F.greatest("n", F.lit(0))).over(by_word)).withColumn("place", F.row_number().over(by_word.orderBy("doc_id")))
-    own = F.struct(F.lit(0).alias("kind"), F.col("doc_id").alias("id"))
-    new = F.struct(F.lit(1).alias("kind"), F.col("key").bitwiseAND(F.lit(SHAPES - 1)).cast("long").alias("id"))
-    rows = rows.withColumn("to", F.explode(F.when((F.col("place") == 1) & (F.col("c") > 0), F.array(own, new)).otherwise(F.array(own))))
+def _rest_of_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the words outside the head: per row (file, row) the sum of n * log10(c + 0.5) and how many are known; per shape the number of
+    different training words.  Counts are added up before they are joined back, so that no task holds all rows of a word."""
+    rows = rows.where("kind = 0").drop("kind")
+    counts = stored(rows.groupBy("key").agg(F.sum(F.greatest("n", F.lit(0))).alias("c")))
     n = F.abs("n")
-    return rows.groupBy("to.kind", "to.id").agg(F.sum(n * F.log10(F.col("c") + 0.5)).alias("terms"), F.sum(F.when(F.col("c") > 0, n).otherwise(0)).alias("known"), F.sum(n).alias("words"), F.count("*").alias("rows"))
+    terms = rows.join(counts, "key").groupBy("file", "row").agg(F.sum(n * F.log10(F.col("c") + 0.5)).alias("terms"), F.sum(F.when(F.col("c") > 0, n).otherwise(0)).alias("more"))
+    kinds = counts.where("c > 0").groupBy(F.col("key").bitwiseAND(F.lit(SHAPES - 1)).cast("int").alias("shape")).agg(F.count("*").alias("kinds"))
+    return terms, kinds
 
 
 def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; fold holds for held-out rows of docs."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~fold).alias("train"))
+    with working() as held:
+        docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (~fold).alias("train"))
+        docs = with_row_ids(docs)
+        return held.keep(stored(_scored(docs, head_words)))
+
+
+def _scored(docs: DataFrame, head_words: int) -> DataFrame:
     learned = docs.where("train").select("doc_id", "text")
     head = choose_head(learned, head_words)
     weights = train(learned, head)
 
     counted = stored(_count_words(docs, head))
-    heads, shapes = np.zeros(len(head) + 1), np.zeros(SHAPES)
+    heads, shapes, kinds = np.zeros(len(head) + 1), np.zeros(SHAPES), np.zeros(SHAPES)
     for r in counted.where("kind > 0").groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas().itertuples():
         (heads if r.kind == 1 else shapes)[r.key] = r.n
-    rest = stored(_rest_of_documents(counted))
+    terms, by_shape = _rest_of_rows(counted)
+    rest = stored(terms)
+    for r in by_shape.collect():
+        kinds[r["shape"]] = r["kinds"]
     drop_stored(counted)
-    kinds = np.zeros(SHAPES)
-    for r in rest.where("kind = 1").select("id", "rows").collect():
-        kinds[r.id] = r.rows
     n_tokens, n_kinds = heads.sum() + shapes.sum(), (heads > 0).sum() + kinds.sum()
     lookup = Words(head)
     room = shapes + 0.5 * kinds + 0.5
     for i, w in enumerate(head[lookup.top :], lookup.top + 1):
         if heads[i] > 0:
             room[shape(w)] += heads[i] + 0.5
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((head, weights.pieces(), heads, np.log10(room)))
+    known = shared(docs.sparkSession, (head, weights.pieces(), heads, np.log10(room)))
 
     def run(batches):
-        head, pieces, heads, log_room = shared.value
+        head, pieces, heads, log_room = known.value
         lookup, weights = Words(head), Weights.join(pieces)
         log_heads = np.log10(heads + 0.5)
         for batch in batches:
@@ -319,27 +338,25 @@ def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD) -> DataFrame
                 in_head = index > 0
                 own = np.where(in_head, log_heads[np.maximum(index, 0)], 0.0)
                 inside = np.where(item > SHAPES, 0.0, own - log_room[shapes])
-                known = in_head & (heads[np.maximum(index, 0)] > 0)
-                sums = [np.bincount(doc, v[code], minlength=size) for v in (own, inside, known.astype(float), (~in_head).astype(float))]
+                sure = in_head & (heads[np.maximum(index, 0)] > 0)
+                sums = [np.bincount(doc, v[code], minlength=size) for v in (own, inside, sure.astype(float))]
+                get = lambda name: part.column(part.schema.get_field_index(name))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).cast(pa.int64()), part.column(part.schema.get_field_index("train")), pa.array(np.bincount(of, minlength=size).astype(np.int64)),
-                        pa.array(sums[2].astype(np.int64) + int(heads[0] > 0)), pa.array(sums[0] + log_heads[0]), pa.array(model + sums[1]), pa.array(sums[3]),
+                        get("doc_id").cast(pa.int64()), get("train"), get("file"), get("row"), pa.array(np.bincount(of, minlength=size).astype(np.int64)),
+                        pa.array(sums[2].astype(np.int64) + int(heads[0] > 0)), pa.array(sums[0] + log_heads[0]), pa.array(model + sums[1]),
                     ],
-                    ["doc_id", "train", "n_tokens", "known", "own", "model", "outside"],
+                    ["doc_id", "train", "file", "row", "n_tokens", "known", "own", "model"],
                 )
+        give_back()
 
-    local = docs.mapInArrow(run, "doc_id long, train boolean, n_tokens long, known long, own double, model double, outside double")
-    sums = rest.where("kind = 0").select(F.col("id").alias("of"), "terms", F.col("known").alias("more"), "words")
-    out = local.join(sums, F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    # rows that repeat a doc_id share its sums
-    part = F.when(F.col("outside") > 0, F.col("outside") / F.col("words")).otherwise(0.0)
-    terms = F.coalesce(F.col("terms") * part, F.lit(0.0))
-    return out.select(
+    local = docs.mapInArrow(run, "doc_id long, train boolean, file long, row long, n_tokens long, known long, own double, model double")
+    terms = F.coalesce("terms", F.lit(0.0))
+    return local.join(rest, ["file", "row"], "left").select(
         "doc_id",
         (~F.col("train")).alias("held_out"),
         "n_tokens",
-        (F.col("known") + F.coalesce(F.round(F.col("more") * part), F.lit(0)).cast("long")).alias("n_known"),
+        (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(int(n_tokens)).cast("long").alias("train_tokens"),
         (F.col("own") + terms - F.col("n_tokens") * F.lit(float(np.log10(n_tokens + 0.5 * (n_kinds + 1))))).alias("base_score"),
         (F.col("model") + terms).alias("score"),

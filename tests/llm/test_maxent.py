@@ -72,6 +72,19 @@ def test_every_training_document_is_learned_from_once(documents, monkeypatch, n)
     assert weights.one[1 + item].any(1).all()
 
 
+@pytest.mark.parametrize("head_words", [1, 3, 1000])
+def test_two_texts_of_one_id_and_null_ids(documents, head_words):
+    rows = [(None, "x x x"), (None, "y"), (5, "x z z q"), (5, "w " * 3000), (5, "x z z q"), (None, None), (7, "rare1 rare2 rare1"), (7, "")]
+    docs = documents(*rows).withColumnRenamed("lang", "train").withColumnRenamed("source", "file").withColumnRenamed("n_chars", "row")
+    fold = F.col("doc_id").eqNullSafe(7)
+    out = maxent.score(docs, fold, head_words=head_words).collect()
+    count = Counter(w for i, t in rows if i != 7 for w in tokens(t))
+    n, kinds = sum(count.values()), len(count)
+    want = sorted(((i, i == 7, len(ts := tokens(t)), sum(count[w] > 0 for w in ts), n, round(sum(math.log10((count[w] + 0.5) / (n + 0.5 * (kinds + 1))) for w in ts), 4)) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in out), key=str) == want
+    assert len({round(r.score, 6) for r in out}) >= 6 and all(r.score < 0 for r in out)
+
+
 def test_repeated_rows_and_empty_table(spark, documents):
     docs = documents((1, "a b rare1"), (1, "a b rare1"), (2, "a b c"), (None, "x"))
     out = maxent.score(docs, crc_mod("doc_id", 5) == 1, head_words=2).collect()

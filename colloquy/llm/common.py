@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import io
 import math
 import pathlib
@@ -36,11 +37,18 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
 
 
+#: Arrow batches: what is set for a session that has Spark's own values, as texts are longer than most columns.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per application: they need not have it installed.
 
     The archive lies in the shared scratch space.
     """
+    for key, (usual, most) in _BATCHES.items():
+        if spark.conf.get(key) == usual:
+            spark.conf.set(key, most)
     context, package = spark.sparkContext, pathlib.Path(__file__).resolve().parents[1]
     if getattr(context, "_colloquy_shipped", False) or not package.is_dir():
         return
@@ -112,6 +120,8 @@ class _Held:
     def let_go(self) -> None:
         while self.things:
             self.things.popitem()[1]()
+        gc.collect()
+        give_back()
 
 
 _OUTERMOST, _WORK = _Held(), threading.local()
@@ -158,7 +168,7 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark)
     with _shuffle_files_go(spark):
-        df.write.parquet(path)
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     _held().things[path] = lambda: _delete(spark, path)
@@ -213,7 +223,7 @@ def hash_share(column: str, share: float) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20)))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about `most` bytes, so that memory doesn't follow the batch size.
 
     A single longer text is a run of its own.

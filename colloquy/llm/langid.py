@@ -32,7 +32,7 @@ DOCS_PER_LANG = 1500
 #: Four-byte strings kept of each language.
 GRAMS_PER_LANG = 75_000
 #: Bytes that are coded at a time, in memory.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 

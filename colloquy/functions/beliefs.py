@@ -15,6 +15,11 @@ def entropy(belief: Column) -> Column:
     return -F.aggregate(belief, F.lit(0.0), lambda a, p: a + F.when(p > 0, p * F.log2(p)).otherwise(0.0))
 
 
+def atoms(facts: Column, diagnoses: Column) -> Column:
+    """A case's atoms: its facts, then its diagnoses; ids of the two don't overlap."""
+    return F.concat(facts, diagnoses)
+
+
 def expected(belief: Column, utility: Column) -> Column:
     """The mean of utility, an array alike, under the belief."""
     return _sum(F.zip_with(belief, utility, lambda p, u: p * u))

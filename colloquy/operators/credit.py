@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import beliefs
 from ..plans.parameters import DEFAULTS, Parameters
+from .ranks import placed
 
 
 def group_sizes(cases: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
@@ -43,18 +44,20 @@ def advantages(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
 
 
 def objective(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
-    """Per batch the clipped objective: means over turns, then trajectories, then cases."""
+    """Per batch: the clipped objective (means over turns, then trajectories, then cases), the KL term, and the first less the weighted second."""
     ratio = F.exp(F.col("logp_new") - F.col("logp_old"))
     term = F.least(ratio * F.col("advantage"), F.greatest(F.lit(1 - p.clip), F.least(F.lit(1 + p.clip), ratio)) * F.col("advantage"))
     by_turn = rows.groupBy("batch", "case_id", "traj_id").agg(F.avg(term).alias("v"), F.avg(F.col("logp_old") - F.col("logp_new")).alias("kl"))
     by_case = by_turn.groupBy("batch", "case_id").agg(F.avg("v").alias("v"), F.avg("kl").alias("kl"))
-    return by_case.groupBy("batch").agg(F.avg("v").alias("objective"), F.avg("kl").alias("kl"))
+    out = by_case.groupBy("batch").agg(F.avg("v").alias("clipped"), F.avg("kl").alias("kl"))
+    return out.withColumn("objective", F.col("clipped") - p.kl_weight * F.col("kl"))
 
 
 def kl_coefficient(steps: DataFrame, p: Parameters = DEFAULTS, start: float = 1.0) -> DataFrame:
     """steps (batch, kl) with coefficient: doubled after a KL over twice the target, halved after one under half of it."""
     turn = F.when(F.col("kl") > 2 * p.kl_target, 1).when(F.col("kl") < 0.5 * p.kl_target, -1).otherwise(0)
-    return steps.withColumn("coefficient", F.lit(start) * F.pow(F.lit(2.0), F.sum(turn).over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0))))
+    rows, _ = placed(steps.withColumn("turn_", turn), "batch", F.col("turn_"))
+    return rows.withColumn("coefficient", F.lit(start) * F.pow(F.lit(2.0), F.col("before") + F.col("turn_"))).drop("turn_", "before")
 
 
 def budget_parity(runs: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:

@@ -89,14 +89,14 @@ def checked(episodes: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def validated(episodes: DataFrame, strict: bool = False) -> DataFrame:
-    """Episodes with facts replaced by those kept, and dropped: array<struct<reason, fact>>; truncated facts are in neither."""
+    """Episodes with facts replaced by those kept, and dropped: array<struct<reason, fact, pos>>; truncated facts are in neither."""
     rows = checked(episodes, strict)
     clean = lambda f: F.struct(
         f["fact"]["category"].alias("category"), strip(f["fact"]["name"]).alias("name"), strip(f["fact"]["value"]).alias("value"),
         f["fact"]["source_turn"].alias("source_turn"), strip(F.coalesce(f["fact"]["evidence"], F.lit(""))).alias("evidence"),
     )
     kept = F.transform(F.filter("checked", lambda f: f["reason"] == "kept"), clean)
-    dropped = F.transform(F.filter("checked", lambda f: ~f["reason"].isin("kept", "truncated")), lambda f: F.struct(f["reason"].alias("reason"), f["fact"].alias("fact")))
+    dropped = F.transform(F.filter("checked", lambda f: ~f["reason"].isin("kept", "truncated")), lambda f: F.struct(f["reason"].alias("reason"), f["fact"].alias("fact"), f["pos"].alias("pos")))
     return _once(_once(rows.drop("facts"), "facts", kept), "dropped", dropped).drop("checked")
 
 

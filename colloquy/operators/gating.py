@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import beliefs
 from ..plans.parameters import DEFAULTS, Parameters
+from .ranks import hash_number, quantiles
 from .rewards import TRAJECTORY
 
 
@@ -56,12 +57,20 @@ def disclosures_left(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
 def thresholds(rows: DataFrame, low: float = DEFAULTS.low_quantile, high: float = DEFAULTS.high_quantile) -> DataFrame:
     """tau_low and tau_high: exact quantiles of the last turns' sufficiency."""
     last = rows.groupBy(*TRAJECTORY).agg(F.max_by("s", "t").alias("s"))
-    return last.agg(F.percentile("s", low).alias("tau_low"), F.percentile("s", high).alias("tau_high"))
+    return quantiles(last, "s", {"tau_low": low, "tau_high": high})
 
 
 def branches(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
-    """rows with branch: whether extra trajectories start here."""
-    return rows.withColumn("branch", F.col("h") > p.branch_entropy)
+    """rows (h, and voi: the value of information of the turn's best action, null if unknown) with branch: whether extra trajectories start
+    here, because of either."""
+    worth = F.coalesce(F.col("voi") > p.branch_voi, F.lit(False)) if "voi" in rows.columns else F.lit(False)
+    return rows.withColumn("branch", worth | (F.col("h") > p.branch_entropy))
+
+
+def gated_in(rows: DataFrame, stages: tuple[str, ...] = ("C3",), p: Parameters = DEFAULTS) -> DataFrame:
+    """rows (s, stage) with gate: only in some stages of the curriculum is anything masked or rejected; emergencies count in all."""
+    rows = gated(rows, p)
+    return rows.withColumn("gate", F.when(F.col("stage").isin(*stages) | (F.col("gate") == "emergency"), F.col("gate")).otherwise("pass"))
 
 
 def distinct_questions(rows: DataFrame, text: str) -> DataFrame:
@@ -74,13 +83,14 @@ def bucket(doctor_turns: Column, p: Parameters = DEFAULTS) -> Column:
 
 
 def tercile_bounds(cases: DataFrame, column: str = "doctor_turns") -> DataFrame:
-    return cases.agg(F.percentile(column, 1 / 3).alias("first"), F.percentile(column, 2 / 3).alias("second"))
+    return quantiles(cases, column, {"first": 1 / 3, "second": 2 / 3})
 
 
 def early_rate(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
     """The share of trajectories that end at too little sufficiency, and quantiles of the last sufficiency."""
     last = rows.groupBy(*TRAJECTORY).agg(F.max_by("s", "t").alias("s"))
-    return last.agg(F.avg(F.when(F.col("s") < p.tau_low, 1.0).otherwise(0.0)).alias("early_rate"), *(F.percentile("s", q).alias(f"s_{round(100 * q)}") for q in (0.1, 0.5, 0.9)))
+    rate = last.agg(F.avg(F.when(F.col("s") < p.tau_low, 1.0).otherwise(0.0)).alias("early_rate")).withColumn("k", F.lit(1))
+    return rate.join(quantiles(last, "s", {f"s_{round(100 * q)}": q for q in (0.1, 0.5, 0.9)}).withColumn("k", F.lit(1)), "k").drop("k")
 
 
 def stage_switch(ends: DataFrame, utility: float, early: float, p: Parameters = DEFAULTS) -> DataFrame:
@@ -92,8 +102,3 @@ def stage_switch(ends: DataFrame, utility: float, early: float, p: Parameters =
 def replayed(cases: DataFrame, p: Parameters = DEFAULTS, key: str = "case_id") -> DataFrame:
     """The share of earlier cases that is replayed, chosen by a hash that other engines can work out too."""
     return cases.where(hash_number(F.col(key).cast("string")) % 1000 < round(1000 * p.replay))
-
-
-def hash_number(text: Column) -> Column:
-    """The first 32 bits of the md5."""
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import time
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ Responder = Callable[[str, str], str]
 
 
 def parsed(raw: Column) -> Column:
-    """struct<status, facts>: status is ok, invalid_json, not_object, no_facts or bad_element; facts is null unless ok.
+    """struct<status, facts, raw>: status is ok, invalid_json, not_object, no_facts or bad_element; facts and raw, the JSON text of
+    each fact as it came, are null unless ok.
 
     JSON types are kept apart as far as they matter: source_turn takes whole numbers and booleans (true is 1), not 3.5 or "3";
     other members are read as text, with 0 and false as ''.  NaN is invalid here, and text after the JSON value is
@@ -38,7 +41,7 @@ def parsed(raw: Column) -> Column:
     status = (
         F.when(v.isNull(), "invalid_json").when(~kind.startswith("OBJECT"), "not_object").when(elements.isNull(), "no_facts").when(~objects, "bad_element").otherwise("ok")
     )
-    return F.struct(status.alias("status"), F.when(status == "ok", F.transform(elements, _fact)).cast(f"array<{FACT}>").alias("facts"))
+    return F.struct(status.alias("status"), F.when(status == "ok", F.transform(elements, _fact)).cast(f"array<{FACT}>").alias("facts"), F.when(status == "ok", F.transform(elements, lambda e: F.to_json(e))).alias("raw"))
 
 
 def _text(e: Column, name: str) -> Column:
@@ -71,8 +74,10 @@ def asked(requests: DataFrame, responder: Responder | None, *, retries: int = 3,
     """requests (case_id, fp, request) with reply (null if all attempts failed) and attempts.
 
     After a failure the next attempt waits pause seconds, then twice that, and so on; none after the last.  A
-    task that Spark runs again asks again: store the result before using it twice.
+    task that Spark runs again asks again: store the result before using it twice.  NotImplementedError is no failed attempt: it ends
+    the job.
     """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package installed
     if responder is None:
         raise NotImplementedError("no responder was given; pass a function of (request, instructions) that returns the reply")
 
@@ -82,6 +87,8 @@ def asked(requests: DataFrame, responder: Responder | None, *, retries: int = 3,
                 reply = responder(request, INSTRUCTIONS)
                 if acceptable(reply):
                     return reply, attempt + 1
+            except NotImplementedError:
+                raise
             except Exception:  # noqa: BLE001  whatever a responder raises is a failed attempt
                 pass
             if attempt + 1 < retries:

@@ -83,6 +83,16 @@ def returns(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
     return out.withColumn("adds_up", F.abs(F.col("total") - F.col("end") - F.col("residual") - F.col("facts")) < 1e-6)
 
 
+def signals(rows: DataFrame, p: Parameters = DEFAULTS) -> DataFrame:
+    """rows (measured, with new_facts) with consistency, the mean probability that the belief gave the facts that came, 0 if none did;
+    and answer, the change to the next turn of the probability of the diagnosis that is likeliest in the end (null on the last)."""
+    given = F.transform("new_facts", lambda k: F.get(F.col("belief"), k))
+    rows = rows.withColumn("consistency", F.when(F.size(given) > 0, F.aggregate(given, F.lit(0.0), lambda a, x: a + x) / F.size(given)).otherwise(0.0))
+    last = F.slice(F.max_by("belief", "t").over(_whole()), p.facts + 1, p.diagnoses)
+    rows = rows.withColumn("answer_", F.get(F.col("belief"), (F.array_position(last, F.array_max(last)) - 1 + p.facts).cast("int")))
+    return rows.withColumn("answer", F.lead("answer_").over(_turns()) - F.col("answer_")).drop("answer_")
+
+
 def value_of_information(samples: DataFrame) -> DataFrame:
     """Mean gain in potential per (case_id, traj_id, t, action) over logged sampled observations (psi_after, psi)."""
     return samples.groupBy(*TRAJECTORY, "t", "action").agg(F.avg(F.col("psi_after") - F.col("psi")).alias("voi"), F.count("*").alias("samples"))

@@ -1,4 +1,4 @@
-"""Evaluation statistics.  Evaluation sets have a row per case; rankings order those, not turns."""
+"""Evaluation statistics.  Rankings and numberings go by ranges of values, so that no task holds all cases."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.parameters import DEFAULTS, Parameters
-from .gating import hash_number
+from .ranks import hash_number, placed, ranked
 
 
 def correlation(x: Column, y: Column) -> Column:
@@ -14,14 +14,11 @@ def correlation(x: Column, y: Column) -> Column:
     return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
-def mid_rank(column: str) -> Column:
-    """Ranks with ties sharing their mean."""
-    return F.rank().over(Window.orderBy(column)) + (F.count("*").over(Window.partitionBy(column)) - 1) / 2.0
-
-
 def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
-    ranked = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(mid_rank(x).alias("rx"), mid_rank(y).alias("ry"))
-    return ranked.agg(correlation(F.col("rx"), F.col("ry")).alias("rho"), F.count("*").alias("n"))
+    """The correlation of ranks; ties share the mean of theirs."""
+    rows = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).alias("x"), F.col(y).alias("y"))
+    rows = ranked(ranked(rows, "x", "rx"), "y", "ry")
+    return rows.agg(correlation(F.col("rx"), F.col("ry")).alias("rho"), F.count("*").alias("n"))
 
 
 def calibration_error(rows: DataFrame, confidence: str, correct: str, p: Parameters = DEFAULTS) -> DataFrame:
@@ -32,12 +29,12 @@ def calibration_error(rows: DataFrame, confidence: str, correct: str, p: Paramet
 
 
 def bootstrap(cases: DataFrame, value: str, replicates: int = DEFAULTS.replicates, key: str = "case_id") -> DataFrame:
-    """The mean with a 95 % interval; replicates draw cases by a hash of (replicate, slot) that other engines share.
+    """The mean with a 95 % interval over `replicates` means; replicates draw cases by a hash of (replicate, slot) that other engines share.
 
     Each replicate's slots are rows of a join on the drawn index, so the work spreads over all replicates.
     """
-    numbered = cases.select((F.row_number().over(Window.orderBy(key)) - 1).cast("long").alias("i"), F.col(value).alias("v"))
-    n = cases.count()
+    numbered, n = placed(cases.select(key, F.col(value).alias("v")), key, F.lit(1))
+    numbered = numbered.select(F.col("before").cast("long").alias("i"), "v")
     if not n:
         return cases.agg(F.avg(value).alias("mean"), F.percentile(value, 0.025).alias("low"), F.percentile(value, 0.975).alias("high"))
     slots = cases.sparkSession.range(n * replicates).select((F.col("id") % n).alias("q"), F.expr(f"id div {n}L + 1").alias("r"))
@@ -100,6 +97,17 @@ def split_audit(episodes: DataFrame) -> DataFrame:
     return episodes.groupBy("split").agg(F.count("*").alias("n"))
 
 
+def recall(rows: DataFrame, true: str, found: str) -> DataFrame:
+    """The share of true cases that were found; null without any."""
+    return rows.agg(F.try_divide(F.count_if(F.col(true) & F.col(found)), F.count_if(F.col(true))).alias("recall"), F.count_if(F.col(true)).alias("n"))
+
+
+def distributions(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column: number of values, mean, standard deviation, least and greatest.  One pass over the rows."""
+    wide = rows.agg(*(F.struct(F.lit(c).alias("signal"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd"), F.min(c).alias("least"), F.max(c).alias("greatest")).alias(c) for c in columns))
+    return wide.select(F.explode(F.array(*columns)).alias("d")).select("d.*")
+
+
 def share(rows: DataFrame, part: str, whole: str) -> DataFrame:
     """Sum of part over sum of whole."""
     return rows.agg(F.try_divide(F.sum(part), F.sum(whole)).alias("share"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fingerprint, norm, request
-from ..operators import cache, credit, facts, gating, replies, report, rewards, statistics
+from ..functions import beliefs
+from ..operators import cache, credit, facts, gating, ranks, replies, report, rewards, statistics
 from ..sources import episodes as source
-from . import fixtures, oracles
+from . import extraction, fixtures, oracles
 from .parameters import DEFAULTS as P
 
 KEY = ("case_id", "traj_id", "t")
@@ -129,9 +131,13 @@ def _returns(flag: str, *columns: str):
 
 def value_of_information(spark, d) -> DataFrame:
     """Observed next beliefs as the sampled observations of a turn's action, over the trajectories of a case."""
-    rows = rewards.measured(fixtures.log(spark, d)).where("ig is not null")
+    return _information(rewards.measured(fixtures.log(spark, d))).select("case_id", "t", "action", *r6("voi"), "samples")
+
+
+def _information(rows) -> DataFrame:
+    rows = rows.where("ig is not null")
     samples = rows.select("case_id", F.lit(0).alias("traj_id"), "t", F.col("u").alias("action"), "psi", (F.col("psi") + F.col("r_p")).alias("psi_after"))
-    return rewards.value_of_information(samples).select("case_id", "t", "action", *r6("voi"), "samples")
+    return rewards.value_of_information(samples)
 
 
 def sufficiency_thresholds(spark, d) -> DataFrame:
@@ -142,7 +148,8 @@ def threshold_sweep(spark, d) -> DataFrame:
     """tau_low at 10 to 50 %, tau_high at 50 to 90 %."""
     rows = rewards.measured(fixtures.log(spark, d)).groupBy(*rewards.TRAJECTORY).agg(F.max_by("s", "t").alias("s"))
     qs = [round(0.1 * k, 1) for k in range(1, 10)]
-    return rows.agg(F.percentile("s", F.array(*map(F.lit, qs))).alias("v")).select(F.explode(F.arrays_zip(F.array(*map(F.lit, qs)).alias("q"), "v")).alias("x")).select(F.round("x.q", 1).alias("q"), F.round("x.v", 6).alias("v"))
+    wide = ranks.quantiles(rows, "s", {f"q{k}": q for k, q in enumerate(qs)})
+    return wide.select(F.explode(F.array(*(F.struct(F.lit(q).alias("q"), F.round(f"q{k}", 6).alias("v")) for k, q in enumerate(qs)))).alias("x")).select("x.*")
 
 
 def turn_budget(spark, d) -> DataFrame:
@@ -171,7 +178,21 @@ def termination(spark, d) -> DataFrame:
 
 
 def branch_trigger(spark, d) -> DataFrame:
-    return gating.branches(rewards.measured(fixtures.log(spark, d))).select(*KEY, "branch")
+    rows = rewards.measured(fixtures.log(spark, d))
+    best = _information(rows).groupBy("case_id", "t").agg(F.max("voi").alias("voi"))
+    return gating.branches(rows.join(best, ["case_id", "t"], "left")).select(*KEY, "branch")
+
+
+def distinct_questions(spark, d) -> DataFrame:
+    """Three sampled questions a turn, two of them alike."""
+    rows = fixtures.read(spark, d, "conversations").select(F.expr("conv_id div 4").alias("case_id"), (F.col("conv_id") % 4).alias("traj_id"), F.col("turn").alias("t"), "text", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+    rows = rows.withColumn("question", F.concat(F.substring("text", 1, 20), (F.col("k") % 2).cast("string")))
+    return gating.distinct_questions(rows.select("case_id", "traj_id", "t", "question"), "question").groupBy("case_id", "traj_id").agg(F.count("*").alias("n"))
+
+
+def stage_gating(spark, d) -> DataFrame:
+    rows = rewards.measured(fixtures.log(spark, d)).withColumn("stage", gating.bucket(F.count("*").over(Window.partitionBy(*rewards.TRAJECTORY))))
+    return gating.gated_in(rows, ("C2",)).groupBy("stage", "gate").agg(F.count("*").alias("n"))
 
 
 def _cases(spark, d) -> DataFrame:
@@ -218,7 +239,7 @@ def cluster_advantage(spark, d) -> DataFrame:
 
 
 def clipped_objective(spark, d) -> DataFrame:
-    return credit.objective(credit.advantages(_clustered(spark, d))).select("batch", *r6("objective", "kl"))
+    return credit.objective(credit.advantages(_clustered(spark, d))).select("batch", *r6("clipped", "kl", "objective"))
 
 
 def kl_coefficient(spark, d) -> DataFrame:
@@ -268,8 +289,61 @@ def spearman(spark, d) -> DataFrame:
 
 
 def signal_correlations(spark, d) -> DataFrame:
-    rows = rewards.fact_reward(rewards.measured(fixtures.log(spark, d))).where("ig is not null")
-    return statistics.correlations(rows, ["ig", "dphi", "r_f"]).select("x", "y", *r6("r"))
+    return statistics.correlations(_signals(spark, d), list(SIGNALS)).select("x", "y", *r6("r"))
+
+
+SIGNALS = ("ig", "dphi", "r_f", "consistency", "answer")
+
+
+def _signals(spark, d) -> DataFrame:
+    return rewards.signals(rewards.fact_reward(rewards.measured(fixtures.log(spark, d)))).where("ig is not null")
+
+
+def signal_distributions(spark, d) -> DataFrame:
+    return statistics.distributions(_signals(spark, d), list(SIGNALS)).select("signal", "n", *r6("mean", "sd", "least", "greatest"))
+
+
+def rank_agreement(spark, d) -> DataFrame:
+    """Ranks of a measure against labels of three levels."""
+    rows = fixtures.read(spark, d, "labels").select((F.col("quality") + F.col("doc_id") % 2).alias("level"), (F.col("doc_id") % 11 + 3 * F.col("toxic")).cast("double").alias("measure"))
+    return statistics.spearman(rows, "measure", "level").select(*r6("rho"), "n")
+
+
+def atom_space(spark, d) -> DataFrame:
+    """Each case's atoms: the facts that its turns confirm, and the diagnoses that its beliefs hold."""
+    rows = fixtures.log(spark, d).groupBy("case_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("confirmed")))).alias("facts"), F.max(F.size("belief")).alias("size"))
+    found = beliefs.atoms(F.col("facts"), F.sequence(F.lit(P.facts), F.col("size") - 1))
+    return rows.select("case_id", F.size(found).cast("long").alias("n"), F.array_join(found.cast("array<string>"), ",").alias("atoms"))
+
+
+def _batch(spark, d) -> tuple[str, dict]:
+    """The batch job over written splits, twice: the second time nothing answers, and the cache does."""
+    folder = fixtures.workspace(spark)
+    fixtures.write_splits(spark, d, f"{folder}/in")
+    cloudpickle.register_pickle_by_value(fixtures)
+    config = extraction.Config(f"{folder}/in", f"{folder}/out", retries=2, pause=0.0)
+    extraction.run(spark, config, fixtures.responder)
+    return folder, extraction.run(spark, config, fixtures.silent)
+
+
+def batch_results(spark, d) -> DataFrame:
+    """What the batch job wrote, read again: facts kept and dropped per case, and those dropped that still have members of their own."""
+    folder, _ = _batch(spark, d)
+    rows = spark.read.json(f"{folder}/out/facts")
+    return rows.select("case_id", "split", F.size("facts").cast("long").alias("n_facts"), F.size("dropped").cast("long").alias("n_dropped"), F.size(F.filter("dropped", lambda x: x["fact"]["note"] == "as said")).cast("long").alias("n_raw"))
+
+
+def batch_cache(spark, d) -> DataFrame:
+    """The cache that the batch job left: an entry per case that was answered."""
+    folder, _ = _batch(spark, d)
+    return spark.read.schema(extraction.RECORD).parquet(f"{folder}/out/cache").select("case_id", "fp", F.size("facts").cast("long").alias("n_facts"))
+
+
+def batch_report(spark, d) -> DataFrame:
+    _, found = _batch(spark, d)
+    pairs = lambda m: ",".join(f"{k}={n}" for k, n in sorted(m.items()))
+    row = (found["episodes"], found["failed"], found["no_facts"], pairs(found["by_category"]), pairs(found["drop_reasons"]))
+    return spark.createDataFrame([row], "episodes long, failed long, no_facts long, by_category string, drop_reasons string")
 
 
 def ece(spark, d) -> DataFrame:
@@ -278,7 +352,7 @@ def ece(spark, d) -> DataFrame:
 
 
 def bootstrap_ci(spark, d) -> DataFrame:
-    return statistics.bootstrap(_case_measures(spark, d), "ig", 200).select(*r6("mean", "low", "high"))
+    return statistics.bootstrap(_case_measures(spark, d), "ig").select(*r6("mean", "low", "high"))
 
 
 def holm(spark, d) -> DataFrame:
@@ -327,6 +401,12 @@ def fact_acquisition(spark, d) -> DataFrame:
     return rows.agg(F.round(F.sum("got") / F.sum("need"), 6).alias("acquired"), F.round(F.avg("delay"), 6).alias("delay"), F.count("delay").alias("emergencies"))
 
 
+def recogniser_recall(spark, d) -> DataFrame:
+    """How many emergencies the recogniser hits; by the fixture it misses some."""
+    rows = fixtures.log(spark, d).withColumn("true", ((F.col("case_id") * 4 + F.col("traj_id")) * 13 + F.col("t")) % 37 < 3)
+    return statistics.recall(rows, "true", "emergency_hit").select(*r6("recall"), "n")
+
+
 def run_diagnostics(spark, d) -> DataFrame:
     rows = gating.gated(rewards.measured(fixtures.log(spark, d)))
     by = rows.groupBy("batch", *rewards.TRAJECTORY).agg(F.count("*").alias("turns"), F.count_if(F.col("gate") == "rejected").alias("rejections"))
@@ -341,7 +421,7 @@ def normalisation_ablation(spark, d) -> DataFrame:
 
 
 def split_audit(spark, d) -> DataFrame:
-    rows = fixtures.episodes(spark, d).withColumn("split", F.when(F.col("case_id") % 10 < 8, "train").when(F.col("case_id") % 10 == 8, "dev").otherwise("test"))
+    rows = fixtures.episodes(spark, d).withColumn("split", F.expr(fixtures.split()))
     return statistics.split_audit(rows)
 
 
@@ -364,7 +444,8 @@ QUERIES = {
         termination, branch_trigger, group_size, group_quota, allocation_rules, budget_parity, occupancy_cluster, exact_state_groups, cluster_advantage,
         clipped_objective, kl_coefficient, curriculum_bucket, curriculum_terciles, curriculum_switch, replay_sample, early_rate, potential_sweep, spearman,
         signal_correlations, ece, bootstrap_ci, holm, icc21, leave_one_source_out, human_agreement, variance_comparison, irrelevant_information, estimator_bias,
-        fact_acquisition, run_diagnostics, normalisation_ablation, split_audit,
+        fact_acquisition, run_diagnostics, normalisation_ablation, split_audit, distinct_questions, stage_gating, signal_distributions, rank_agreement, atom_space,
+        batch_results, batch_cache, batch_report, recogniser_recall,
     )
 }
 ORACLES = oracles.SQL

@@ -14,7 +14,7 @@ from ..operators import cache, replies, report
 from ..operators.facts import FACT, validated
 from ..sources import episodes as source
 
-RECORD = f"case_id string, fp string, seq long, facts array<{FACT}>, dropped array<struct<reason:string,fact:{FACT}>>"
+RECORD = f"case_id string, fp string, seq long, facts array<{FACT}>, dropped array<struct<reason:string,fact:string>>"
 
 
 @dataclass(frozen=True)
@@ -54,18 +54,24 @@ def run(spark: SparkSession, config: Config, responder: replies.Responder | None
     asking = cache.misses(rows, entries).withColumn("request", request(F.col("dialogue"), F.col("conclusion"), F.col("department")))
     unique = asking.groupBy("case_id", "fp").agg(F.min("request").alias("request"))
     stage = f"{config.output}/replies"
-    replies.asked(unique, responder, retries=config.retries, pause=config.pause).write.mode("overwrite").parquet(stage)
+    try:
+        replies.asked(unique, responder, retries=config.retries, pause=config.pause).write.mode("overwrite").parquet(stage)
+    except Exception as e:
+        if "NotImplementedError: " in str(e):
+            raise NotImplementedError("the responder isn't implemented; nothing was written") from e
+        raise
     answered = spark.read.parquet(stage)
 
     rows = cache.with_cache(rows, entries)
     rows = rows.join(answered.select("case_id", "fp", "reply"), ["case_id", "fp"], "left").withColumn("p", replies.parsed(F.col("reply")))
-    fresh = validated(rows.withColumn("facts", F.col("p.facts")), config.strict)
+    fresh = validated(rows.withColumn("facts", F.col("p.facts")).withColumn("raw", F.col("p.raw")), config.strict)
+    said = F.transform("dropped", lambda d: F.struct(d["reason"].alias("reason"), F.get(F.col("raw"), d["pos"]).alias("fact")))  # as the reply had it
     failed = F.col("cached").isNull() & (F.col("reply").isNull() | (F.col("p.status") != "ok"))
     done = fresh.select(
         "case_id", "sample_id", "split", "fp",
         F.when(failed, "failed").when(F.col("cached").isNotNull(), "cached").otherwise("new").alias("status"),
         F.coalesce("cached.facts", "facts").alias("facts"),
-        F.coalesce("cached.dropped", "dropped").alias("dropped"),
+        F.coalesce("cached.dropped", said).alias("dropped"),
     )
     path = f"{config.output}/validated"
     done.write.mode("overwrite").parquet(path)
@@ -83,6 +89,9 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--splits", nargs="+", default=["train", "dev", "test"])
     parser.add_argument("--limit", type=int, default=0)
     parser.add_argument("--retries", type=int, default=3)
+    parser.add_argument("--pause", type=float, default=1.0, help="seconds before the second attempt; later ones wait twice as long each")
+    parser.add_argument("--strict", action="store_true", help="empty evidence never passes")
+    parser.add_argument("--wide-fingerprint", action="store_true", help="conclusion and department are part of the fingerprint")
     parser.add_argument("--responder", help="module:function of (request, instructions)")
     a = parser.parse_args(arguments)
     responder = None
@@ -92,7 +101,7 @@ def main(arguments: list[str] | None = None) -> int:
         module, _, name = a.responder.partition(":")
         responder = getattr(importlib.import_module(module), name)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run(spark, Config(a.input, a.output, a.splits, a.limit, a.retries), responder), ensure_ascii=False, indent=2))
+    print(json.dumps(run(spark, Config(a.input, a.output, a.splits, a.limit, a.retries, a.pause, a.wide_fingerprint, a.strict), responder), ensure_ascii=False, indent=2))
     return 0
 
 

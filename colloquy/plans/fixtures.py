@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import json
+import sys
+import tempfile
+import uuid
+from contextlib import suppress
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,5 +102,59 @@ def rewarded_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_emergency(rewarded(log(spark, sf_dir)))
 
 
+SPLITS = ["train", "dev", "test"]
+
+
+def split() -> str:
+    return "case when case_id % 10 < 8 then 'train' when case_id % 10 = 8 then 'dev' else 'test' end"
+
+
+def workspace(spark: SparkSession) -> str:
+    """A folder that all executors share, deleted when the driver exits; local masters without one take a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="colloquy-")
+    path = f"{base.rstrip('/')}/batch-{uuid.uuid4().hex}"
+
+    @atexit.register
+    def gone() -> None:
+        with suppress(Exception):  # the session may have ended before
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    return path
+
+
+def write_splits(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """conversations as the batch job's input; the department says the case, for the responder below."""
+    case = F.col("case_id").cast("string")
+    state = F.struct(F.col("dialogue").alias("full_dialogue"))
+    info = F.struct(case.alias("case_id"), F.concat(F.lit("s"), case).alias("sample_id"), state.alias("patient_state"))
+    truth = F.struct(F.col("conclusion").alias("reference_conclusion"), F.lit("").alias("department_path"), case.alias("department"))
+    rows = episodes(spark, sf_dir).select(F.expr(split()).alias("split"), info.alias("extra_info"), truth.alias("ground_truth"))
+    for name in SPLITS:
+        rows.where(F.col("split") == name).drop("split").write.parquet(f"{folder}/{name}.parquet")
+
+
+_ASKED: set[str] = set()
+
+
+def responder(request: str, instructions: str) -> str:
+    """Stands in for a model: a fact per patient turn and one of an unknown category; every seventh case fails, every fifth at first."""
+    asked = json.loads(request)
+    case = int(asked["department"])
+    if case % 7 == 0 or (case % 5 == 1 and request not in _ASKED):
+        _ASKED.add(request)
+        raise RuntimeError("no answer")
+    facts = [{"category": "symptom", "name": f"f{i % 4}", "value": "v", "source_turn": i, "evidence": (t["text"] or "")[:12]} for i, t in enumerate(asked["turns"]) if t["role"] == "patient"]
+    return json.dumps({"facts": [*facts, {"category": "lab", "name": "x", "note": "as said"}]})
+
+
+def silent(request: str, instructions: str) -> str:
+    raise RuntimeError("no answer")
+
+
 #: Occupancy bits of the fixture's centroids.
 CENTROIDS = [sum(1 << k for k in range(DEFAULTS.facts) if (k + c) % 4 == 0) for c in range(4)]

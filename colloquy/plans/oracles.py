@@ -72,8 +72,14 @@ _CLUSTER = f"""{_LOG}, o AS (SELECT *, {_BITS} AS bits FROM r),
   adv AS (SELECT k.*, baseline, CASE WHEN rejected THEN -{P.early_penalty} ELSE reward - baseline END AS advantage FROM k JOIN base USING (batch, cluster)),
   o1 AS (SELECT batch, case_id, traj_id, avg(least(exp(shift) * advantage, greatest({1 - P.clip}, least({1 + P.clip}, exp(shift))) * advantage)) AS v, avg(-shift) AS kl FROM adv GROUP BY ALL),
   o2 AS (SELECT batch, case_id, avg(v) AS v, avg(kl) AS kl FROM o1 GROUP BY ALL),
-  obj AS (SELECT batch, avg(v) AS objective, avg(kl) AS kl FROM o2 GROUP BY ALL)"""
+  obj AS (SELECT batch, avg(v) AS clipped, avg(kl) AS kl, avg(v) - {P.kl_weight} * avg(kl) AS objective FROM o2 GROUP BY ALL)"""
 _CASE = f"{_LOG}, cm AS (SELECT case_id, round(sum(ig), 6) AS ig, round(sum(r_f), 6) AS r_f, round(sum(dphi), 6) AS dphi FROM r GROUP BY ALL)"
+SIGNALS = ("ig", "dphi", "r_f", "consistency", "answer")
+_SIGNALS = f"""{_LOG}, s0 AS (SELECT *, max_by(b, t) OVER (PARTITION BY conv_id) AS ended FROM r),
+  s1 AS (SELECT *, b[{P.facts} + list_position(ended[{P.facts + 1}:], list_max(ended[{P.facts + 1}:]))] AS ap FROM s0),
+  s2 AS (SELECT *, coalesce(list_avg(list_transform(fresh, lambda k: b[k + 1])), 0) AS consistency, lead(ap) OVER (PARTITION BY conv_id ORDER BY t) - ap AS answer FROM s1),
+  x AS (SELECT * FROM s2 WHERE ig IS NOT NULL)"""
+_SPLIT = "CASE WHEN conv_id % 10 < 8 THEN 'train' WHEN conv_id % 10 = 8 THEN 'dev' ELSE 'test' END"
 _BUCKET = f"CASE WHEN turns <= {P.short_turns} THEN 'C1' WHEN turns <= {P.middle_turns} THEN 'C2' ELSE 'C3' END"
 
 
@@ -142,7 +148,30 @@ SQL = {
         f"""SELECT case_id, traj_id, count(*) FILTER (WHERE gate = 'rejected') AS rejections, least(count(*) FILTER (WHERE gate = 'rejected'), {len(range(0, P.facts, 6))}) AS disclosed,
         count(*) <= greatest({P.budget_least}, least({P.budget_most}, max(real_turns) + {P.budget_more})) + {len(range(0, P.facts, 6))} AS ends FROM r GROUP BY ALL"""
     ),
-    "branch_trigger": _turn(f"h > {P.branch_entropy} AS branch"),
+    "branch_trigger": _log(
+        f"""SELECT case_id, traj_id, t, h > {P.branch_entropy} OR coalesce(voi > {P.branch_voi}, false) AS branch FROM r LEFT JOIN
+        (SELECT case_id, t, max(voi) AS voi FROM (SELECT case_id, t, u, avg(r_p) AS voi FROM r WHERE ig IS NOT NULL GROUP BY ALL) GROUP BY ALL) USING (case_id, t)"""
+    ),
+    "distinct_questions": "SELECT conv_id // 4 AS case_id, conv_id % 4 AS traj_id, count(DISTINCT (turn, left(text, 20) || k % 2)) AS n FROM conversations, range(3) q(k) GROUP BY conv_id",
+    "stage_gating": _log(
+        f"""SELECT stage, CASE WHEN gate = 'emergency' OR stage = 'C2' THEN gate ELSE 'pass' END AS gate, count(*) AS n
+        FROM (SELECT gate, {_BUCKET} AS stage FROM (SELECT gate, count(*) OVER (PARTITION BY conv_id) AS turns FROM r)) GROUP BY ALL"""
+    ),
+    "signal_distributions": f"WITH {_SIGNALS} " + " UNION ALL ".join(f"SELECT '{c}' AS signal, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS sd, round(min({c}), 6) AS least, round(max({c}), 6) AS greatest FROM x" for c in SIGNALS),
+    "rank_agreement": """WITH x AS (SELECT quality + doc_id % 2 AS a, doc_id % 11 + 3 * toxic AS b FROM labels),
+        rk AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0::DOUBLE AS a, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0::DOUBLE AS b FROM x)
+        SELECT round(corr(a, b), 6) AS rho, count(*) AS n FROM rk""",
+    "atom_space": _log(
+        f"""SELECT case_id, len(a)::BIGINT AS n, array_to_string(a, ',') AS atoms FROM
+        (SELECT case_id, list_concat(list_sort(list_distinct(flatten(list(confirmed)))), range({P.facts}, max(len(b)))) AS a FROM r GROUP BY case_id)"""
+    ),
+    "batch_results": f"""SELECT conv_id::VARCHAR AS case_id, {_SPLIT} AS split, count(DISTINCT turn % 4) FILTER (WHERE role = 'user') AS n_facts,
+        count(*) FILTER (WHERE role = 'user') - count(DISTINCT turn % 4) FILTER (WHERE role = 'user') + 1 AS n_dropped, 1::BIGINT AS n_raw FROM conversations WHERE conv_id % 7 <> 0 GROUP BY conv_id""",
+    "batch_cache": f"""WITH {_FP} SELECT case_id::VARCHAR AS case_id, fp, (SELECT count(DISTINCT turn % 4) FROM conversations c WHERE c.conv_id = fp.case_id AND role = 'user') AS n_facts FROM fp WHERE case_id % 7 <> 0""",
+    "batch_report": """WITH x AS (SELECT conv_id, count(DISTINCT turn % 4) FILTER (WHERE role = 'user') AS kept, count(*) FILTER (WHERE role = 'user') AS said FROM conversations GROUP BY conv_id), y AS (SELECT * FROM x WHERE conv_id % 7 <> 0)
+        SELECT (SELECT count(*) FROM x) AS episodes, (SELECT count(*) FROM x WHERE conv_id % 7 = 0) AS failed, count(*) FILTER (WHERE kept = 0) AS no_facts, CASE WHEN sum(kept) > 0 THEN 'symptom=' || sum(kept) ELSE '' END AS by_category,
+        'bad_category=' || count(*) || CASE WHEN sum(said - kept) > 0 THEN ',duplicate=' || sum(said - kept) ELSE '' END AS drop_reasons FROM y""",
+    "recogniser_recall": _log("SELECT round(count(*) FILTER (WHERE e AND hit) / count(*) FILTER (WHERE e), 6) AS recall, count(*) FILTER (WHERE e) AS n FROM (SELECT hit, (conv_id * 13 + t) % 37 < 3 AS e FROM r)"),
     "group_size": _log("SELECT case_id, n FROM cases"),
     "group_quota": _log(
         f"""SELECT batch, case_id, greatest(0, least(n, quota - coalesce(before, 0)))::BIGINT AS granted FROM (SELECT *, count(*) OVER (PARTITION BY batch) * {P.group_mean} AS quota,
@@ -159,7 +188,7 @@ SQL = {
     "occupancy_cluster": f"WITH {_CLUSTER} SELECT case_id, traj_id, t, cluster::BIGINT AS cluster FROM k",
     "exact_state_groups": f"WITH {_CLUSTER} SELECT batch, count(*) AS states, count(*) FILTER (WHERE n > 1) AS shared FROM (SELECT batch, bits, count(*) AS n FROM o GROUP BY ALL) GROUP BY batch",
     "cluster_advantage": f"WITH {_CLUSTER} SELECT case_id, traj_id, t, {_r('baseline', 'advantage')} FROM adv",
-    "clipped_objective": f"WITH {_CLUSTER} SELECT batch, {_r('objective', 'kl')} FROM obj",
+    "clipped_objective": f"WITH {_CLUSTER} SELECT batch, {_r('clipped', 'kl', 'objective')} FROM obj",
     "kl_coefficient": f"""WITH {_CLUSTER} SELECT batch, round(pow(2.0::DOUBLE, sum(CASE WHEN kl > {2 * P.kl_target} THEN 1 WHEN kl < {0.5 * P.kl_target} THEN -1 ELSE 0 END) OVER (ORDER BY batch)), 6) AS coefficient FROM obj""",
     "curriculum_bucket": _log(f"SELECT {_BUCKET} AS bucket, count(*) AS n FROM trajectories GROUP BY ALL"),
     "curriculum_terciles": _log("SELECT round(quantile_cont(turns, 1 / 3.0::DOUBLE), 6) AS first, round(quantile_cont(turns, 2 / 3.0::DOUBLE), 6) AS second FROM trajectories"),
@@ -176,10 +205,10 @@ SQL = {
     ),
     "spearman": f"""WITH {_CASE}, rk AS (SELECT rank() OVER (ORDER BY ig) + (count(*) OVER (PARTITION BY ig) - 1) / 2.0::DOUBLE AS a, rank() OVER (ORDER BY r_f) + (count(*) OVER (PARTITION BY r_f) - 1) / 2.0::DOUBLE AS b FROM cm WHERE ig IS NOT NULL AND r_f IS NOT NULL)
         SELECT round(corr(a, b), 6) AS rho, count(*) AS n FROM rk""",
-    "signal_correlations": f"WITH {_LOG}, x AS (SELECT * FROM r WHERE ig IS NOT NULL) " + " UNION ALL ".join(_corr(a, b, "x") for a, b in (("ig", "dphi"), ("ig", "r_f"), ("dphi", "r_f"))),
+    "signal_correlations": f"WITH {_SIGNALS} " + " UNION ALL ".join(_corr(a, b, "x") for i, a in enumerate(SIGNALS) for b in SIGNALS[i + 1 :]),
     "ece": f"""SELECT round(sum(n * abs(a - c)) / sum(n), 6) AS ece, sum(n)::BIGINT AS n FROM (SELECT least(floor(conf * {P.bins}), {P.bins - 1}) AS bin, count(*) AS n, avg(quality) AS a, avg(conf) AS c FROM (SELECT (doc_id % 100) / 100.0::DOUBLE AS conf, quality FROM labels) GROUP BY 1)""",
     "bootstrap_ci": f"""WITH {_CASE}, num AS (SELECT row_number() OVER (ORDER BY case_id) - 1 AS i, ig AS v FROM cm), n AS (SELECT count(*) AS n FROM cm),
-        means AS (SELECT r, avg(v) AS m FROM (SELECT r, ('0x' || substring(md5(r || ':' || q), 1, 8))::BIGINT % n.n AS i FROM n, range(1, 201) a(r), (SELECT unnest(range((SELECT n FROM n))) AS q)) JOIN num USING (i) GROUP BY r)
+        means AS (SELECT r, avg(v) AS m FROM (SELECT r, ('0x' || substring(md5(r || ':' || q), 1, 8))::BIGINT % n.n AS i FROM n, range(1, 1001) a(r), (SELECT unnest(range((SELECT n FROM n))) AS q)) JOIN num USING (i) GROUP BY r)
         SELECT (SELECT round(avg(ig), 6) FROM cm) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM means""",
     "holm": """WITH p AS (SELECT 'H' || (doc_id % 3 + 1) AS hypothesis, avg(1.0 - quality) / 10 AS p FROM labels GROUP BY 1),
         s AS (SELECT *, least(1.0, (count(*) OVER () - row_number() OVER (ORDER BY p, hypothesis) + 1) * p) AS step FROM p)

@@ -22,6 +22,7 @@ class Parameters:
     tau_low: float = 0.2
     tau_high: float = 0.6
     branch_entropy: float = 4.5
+    branch_voi: float = 0.25
     group_min: int = 2
     group_max: int = 8
     group_mean: int = 4
@@ -39,6 +40,7 @@ class Parameters:
     replicates: int = 1000  # (given)
     budget_tolerance: float = 0.02  # (given)
     kl_target: float = 0.05
+    kl_weight: float = 0.1
     bins: int = 10
 
     @property

@@ -92,7 +92,7 @@ def from_conversations(turns: DataFrame) -> DataFrame:
 
 
 def write_results(rows: DataFrame, path: str) -> None:
-    """JSON lines by split, replacing earlier ones; failed episodes are left out."""
+    """JSON lines, a folder per split, replacing earlier ones; failed episodes are left out, and dropped facts are written as the reply had them."""
     kept = rows.where(F.col("status") != "failed") if "status" in rows.columns else rows
-    dropped = F.transform("dropped", lambda d: F.struct(d["reason"].alias("reason"), F.to_json(d["fact"]).alias("fact")))
+    dropped = F.transform("dropped", lambda d: F.struct(d["reason"].alias("reason"), F.parse_json(d["fact"]).alias("fact")))
     kept.select("case_id", "sample_id", "split", "facts", dropped.alias("dropped")).write.mode("overwrite").partitionBy("split").json(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from colloquy.functions import beliefs, text
-from colloquy.operators import cache, facts, gating, replies, rewards, statistics
+from colloquy.operators import cache, facts, gating, ranks, replies, rewards, statistics
 from colloquy.plans import extraction
 from colloquy.plans.parameters import Parameters
 
@@ -164,10 +164,37 @@ def test_batch_job(spark, tmp_path):
     assert again == first and spark.read.parquet(config.output + "/cache").count() == 2
     written = spark.read.json(config.output + "/facts")
     assert written.count() == 2 and {r.split for r in written.collect()} == {"train"}
+    assert [json.loads(json.dumps(r.asDict(recursive=True)))["fact"] for r in written.first().dropped] == [{"category": "x"}]
     with pytest.raises(NotImplementedError):
         extraction.run(spark, config, None)
 
 
+def missing(request, instructions):
+    raise NotImplementedError("later")
+
+
+def test_a_responder_that_is_not_implemented_ends_the_job(spark, tmp_path):
+    write_split(spark, tmp_path / "in", "train", [("1", "ache")])
+    with pytest.raises(NotImplementedError):
+        extraction.run(spark, extraction.Config(f"file://{tmp_path}/in", f"file://{tmp_path}/out", retries=2, pause=0.0), missing)
+
+
+def test_ranks_and_quantiles(spark):
+    rng = random.Random(4)
+    values = [rng.choice([1.5, 2.0, 2.0, 7.25, rng.random() * 10]) for _ in range(500)] + [None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    known = sorted(v for v in values if v is not None)
+    got = ranks.quantiles(rows, "v", {"a": 0.0, "b": 0.25, "c": 0.9, "d": 1.0}).first()
+    at = lambda q: (lambda x, k: known[k] + (known[min(k + 1, len(known) - 1)] - known[k]) * (x - k))(q * (len(known) - 1), int(q * (len(known) - 1)))
+    assert [got.a, got.b, got.c, got.d] == pytest.approx([at(q) for q in (0.0, 0.25, 0.9, 1.0)])
+    for r in ranks.ranked(rows.where("v is not null"), "v", "rank").collect():
+        assert r["rank"] == sum(x < r.v for x in known) + (known.count(r.v) + 1) / 2
+    empty = rows.where("false")
+    assert ranks.quantiles(empty, "v", {"a": 0.5}).first().a is None and ranks.ranked(empty, "v", "r").count() == 0
+    texts = spark.createDataFrame([(f"k{i}",) for i in range(50)], "key string")
+    assert sorted(r.before for r in ranks.placed(texts, "key", F.lit(1))[0].collect()) == list(range(50))
+
+
 def test_limit_and_missing_splits(spark, tmp_path):
     write_split(spark, tmp_path / "in", "dev", [(str(i), "t") for i in range(5)])
     found, missing = extraction.source.read_splits(spark, f"file://{tmp_path}/in", ["train", "dev"], 2)

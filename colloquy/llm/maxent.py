@@ -170,7 +170,8 @@ class Weights:
 
 
 def choose_head(docs: DataFrame, most: int = HEAD) -> list[str]:
-    """The most frequent words of docs; which ones decides the items and how much is shuffled, no count depends on it."""
+    """The most frequent words of docs, at most so many, cut where words get rarer by a level (a quarter of a power of two), so that only
+    these reach the driver; which ones decides the items and how much is shuffled, no count depends on it."""
 
     def count(batches):
         seen: Counter = Counter()
@@ -184,8 +185,16 @@ def choose_head(docs: DataFrame, most: int = HEAD) -> list[str]:
         yield _counted(seen)
         give_back()
 
-    found = docs.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return found.select("word").toPandas()["word"].tolist()
+    with working():
+        found = docs.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        found = stored(found.withColumn("level", F.floor(4 * F.log2("n")).cast("int")))
+        total, least = 0, None
+        for r in found.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+            if (total := total + r.words) > most:
+                break
+            least = r.level
+        kept = found.orderBy(F.desc("n"), "word").limit(most) if least is None else found.where(F.col("level") >= least)
+        return [r.word for r in sorted(kept.select("word", "n").collect(), key=lambda r: (-r.n, r.word))]
 
 
 def _counted(seen: Counter) -> pa.RecordBatch:

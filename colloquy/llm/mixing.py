@@ -30,8 +30,8 @@ BLOCK_CHARS = 16_384
 MAX_BLOCKS = 1 << 20
 #: Without target weights, a source weighs its size to this power.
 TEMPERATURE = 0.5
-#: Schedules up to so many slots (about 40 bytes each) are broadcast; longer ones are joined by shuffle.
-BROADCAST_SLOTS = 1 << 20
+#: Schedules up to so many slots (about 250 bytes each) are broadcast; longer ones are joined by shuffle.
+BROADCAST_SLOTS = 1 << 17
 #: Slots in one array of the pass over them.
 PIECE = 512
 #: Times this close to a whole number are that number.

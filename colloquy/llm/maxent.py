@@ -70,6 +70,7 @@ class Words:
     def __init__(self, head: list[str]):
         self.head = {w: i + 1 for i, w in enumerate(head)}
         self.top = ITEMS - SHAPES - 1
+        self.shapes = np.full(len(head) + 1, -1, np.int64)  # of head words, once they have been asked for
 
     def look_up(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(document, code) of each word, the distinct words, and their head index, item and shape."""
@@ -77,7 +78,10 @@ class Words:
         code, unique = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))
         unique = list(unique)
         index = np.fromiter((self.head.get(w, -1) for w in unique), np.int64, len(unique))
-        shapes = np.fromiter(map(shape, unique), np.int64, len(unique))
+        shapes = np.where(index < 0, -1, self.shapes[np.maximum(index, 0)])
+        new = np.flatnonzero(shapes < 0)
+        shapes[new] = np.fromiter((shape(unique[i]) for i in new.tolist()), np.int64, len(new))
+        self.shapes[index[new[index[new] > 0]]] = shapes[new[index[new] > 0]]
         item = np.where((index > 0) & (index <= self.top), SHAPES + index, 1 + shapes)
         return np.repeat(np.arange(len(split)), count), code, unique, index, item, shapes
 
@@ -122,6 +126,30 @@ def _summed(table_: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return z
 
 
+def _added(p: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in rows, and for each the sum of p over the lines that name it, as often as they do.
+
+    First, second, ... lines are added for all numbers at once, the most frequent ones first; these add the rest on their own.
+    """
+    flat = rows.ravel().astype(np.uint16)  # numbers of rows fit, and so short ones are sorted by radix
+    line = np.argsort(flat, kind="stable")
+    flat = flat[line]
+    line //= rows.shape[1]
+    first = np.concatenate([[0], np.flatnonzero(flat[1:] != flat[:-1]) + 1])
+    size = np.diff(first, append=len(flat))
+    by = np.argsort(-size, kind="stable")
+    first, size = first[by], size[by]
+    out = p.take(line[first], 0)
+    k, more = 1, int((size > 1).sum())
+    while more > 50:
+        out[:more] += p.take(line[first[:more] + k], 0)
+        k += 1
+        more = int((size[:more] > k).sum())
+    for i in range(more):
+        out[i] += p.take(line[first[i] + k : first[i] + size[i]], 0).sum(0)
+    return flat[first].astype(np.int64), out
+
+
 class Weights:
     def __init__(self, one: np.ndarray | None = None, two: np.ndarray | None = None):
         self.one = np.zeros((ROWS1, SIDE), np.float32) if one is None else one
@@ -142,18 +170,19 @@ class Weights:
         klass, place = target % SIDE, target // SIDE
         for which, table_, rows, right in ((0, self.one, features, klass), (1, self.two, _second(features, klass), place)):
             z = _summed(table_, rows)
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
+            z -= z.max(1, keepdims=True)
+            p = np.exp(z, out=z)
+            p /= (p @ np.ones(SIDE, np.float32))[:, None]
             p[np.arange(len(right)), right] -= 1
-            flat = rows.ravel().astype(np.uint16)  # numbers of rows fit, and so short ones are sorted by radix
-            order = np.argsort(flat, kind="stable")
-            flat = flat[order]
-            first = np.concatenate([[0], np.flatnonzero(flat[1:] != flat[:-1]) + 1])
-            at = flat[first].astype(np.int64)
-            slope = np.add.reduceat(p.take(order // rows.shape[1], 0), first, axis=0) / np.float32(np.sqrt(len(right)))
-            square = squares[which].take(at, 0) + slope * slope
+            at, slope = _added(p, rows)
+            slope *= np.float32(1 / np.sqrt(len(right)))
+            square = squares[which].take(at, 0)
+            square += slope * slope
             squares[which][at] = square
-            table_[at] -= np.float32(rate) * slope / np.sqrt(square + np.float32(1e-6))
+            square += np.float32(1e-6)
+            slope /= np.sqrt(square, out=square)
+            slope *= np.float32(rate)
+            table_[at] = np.subtract(table_.take(at, 0), slope, out=slope)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.one.ravel(), self.two.ravel()])

@@ -9,8 +9,8 @@ shape's training counts, and unseen words together take 0.5: all probabilities s
 
 Weights are learned by rounds of distributed gradient updates: each task runs Adagrad over its documents from the shared
 weights, and the weighted mean of the tasks' weights starts the next round.  Every training document is learned from in one of the rounds;
-a task reads its part of the table as a stream, a batch in memory at a time, and texts aren't shuffled; changes are added up in two steps.  Word counts are exact and over all training documents: the most frequent words
-are counted in an array per task, all others as (word hash, row, count) rows, added up by word and joined back by row.
+a task reads its part of the table as a stream, a batch in memory at a time, and texts aren't shuffled; changes are added up in two steps.  Word counts are exact and over all training documents; those
+of the most frequent words are broadcast, all others are joined to (word hash, row, count) rows and added up by row.
 
 Rules: null text is the empty text, whose only token is the end; an empty corpus gives an empty result; a null doc_id's fold
 is that of ''.  Rows are told apart by their place in the table, so that rows of one doc_id may hold different texts; repeated rows are scored
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, crc_mod, drop_stored, give_back, hash_words, shared, slices, stored, table, with_row_ids, words, working
+from .common import column, crc_mod, give_back, hash_words, shared, slices, stored, table, with_row_ids, words, working
 
 #: Words that are counted in arrays; the bound of what is broadcast.
 HEAD = 100_000
@@ -45,6 +45,8 @@ ROWS1, ROWS2 = _PAIR + PAIRS, 1 << 15
 ROUNDS, BATCH, RATE = 3, 4096, 0.3
 #: Training documents per task.
 TASK_DOCS = 2000
+#: What scoring finds in a row on its own.
+_LOCAL = "doc_id long, train boolean, file long, row long, n_tokens long, known long, own double, model double"
 #: Weights in a piece that travels alone.
 _PIECE = 1 << 16
 
@@ -198,9 +200,8 @@ class Weights:
         return cls(flat[:cut].reshape(ROWS1, SIDE).copy(), flat[cut:].reshape(-1, SIDE).copy())
 
 
-def choose_head(docs: DataFrame, most: int = HEAD) -> list[str]:
-    """The most frequent words of docs, at most so many, cut where words get rarer by a level (a quarter of a power of two), so that only
-    these reach the driver; which ones decides the items and how much is shuffled, no count depends on it."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """Each word of docs with its count n and its level (a quarter of a power of two), stored."""
 
     def count(batches):
         seen: Counter = Counter()
@@ -208,22 +209,27 @@ def choose_head(docs: DataFrame, most: int = HEAD) -> list[str]:
             for part in slices(batch):
                 for text in column(part, "text"):
                     seen.update(tokens(text))
-            if len(seen) > 4 * most:
+            if len(seen) > 4 * HEAD:
                 yield _counted(seen)
                 seen = Counter()
         yield _counted(seen)
         give_back()
 
-    with working():
-        found = docs.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        found = stored(found.withColumn("level", F.floor(4 * F.log2("n")).cast("int")))
-        total, least = 0, None
-        for r in found.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
-            if (total := total + r.words) > most:
-                break
-            least = r.level
-        kept = found.orderBy(F.desc("n"), "word").limit(most) if least is None else found.where(F.col("level") >= least)
-        return [r.word for r in sorted(kept.select("word", "n").collect(), key=lambda r: (-r.n, r.word))]
+    found = docs.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return stored(found.withColumn("level", F.floor(4 * F.log2("n")).cast("int")))
+
+
+def choose_head(counts: DataFrame, most: int = HEAD) -> tuple[list[str], list[int]]:
+    """The most frequent words of count_words(), at most so many, and their counts; cut where words get rarer by a level, so that only
+    these reach the driver; which ones decides the items and how much is shuffled, no count depends on it."""
+    total, least = 0, None
+    for r in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        if (total := total + r.words) > most:
+            break
+        least = r.level
+    kept = counts.orderBy(F.desc("n"), "word").limit(most) if least is None else counts.where(F.col("level") >= least)
+    chosen = sorted(kept.select("word", "n").collect(), key=lambda r: (-r.n, r.word))
+    return [r.word for r in chosen], [r.n for r in chosen]
 
 
 def _counted(seen: Counter) -> pa.RecordBatch:
@@ -286,50 +292,34 @@ def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float
     return weights
 
 
-def _count_words(docs: DataFrame, head: list[str]) -> DataFrame:
-    """Per row (kind 0: hash of a word outside the head with its shape in the low bits, the row's file and place, count; negative for
-    held-out documents), and per task the training counts of head words (kind 1) and of other words by shape (kind 2)."""
-    known = shared(docs.sparkSession, head)
-    names = ["kind", "key", "file", "row", "n"]
+def _keys(words_: list[str], shapes: np.ndarray) -> np.ndarray:
+    """Hashes of words outside the head, with their shapes in the low bits."""
+    return ((hash_words(words_) & ~np.uint64(SHAPES - 1)) | shapes.astype(np.uint64)).view(np.int64)
+
+
+def _outside(counts: DataFrame, head: list[str]) -> DataFrame:
+    """key, shape and n of the words of count_words() that aren't in the head."""
+    known = shared(counts.sparkSession, head)
 
     def run(batches):
-        lookup = Words(known.value)
-        heads, shapes = np.zeros(len(lookup.head) + 1, np.int64), np.zeros(SHAPES, np.int64)
+        inside = set(known.value)
         for batch in batches:
-            for part in slices(batch):
-                train = np.array(column(part, "train"), np.bool_)
-                file, row = (part.column(part.schema.get_field_index(c)) for c in ("file", "row"))
-                split = [tokens(t) for t in column(part, "text")]
-                doc, code, unique, index, _, shapes_of = lookup.look_up(split)
-                at, learned = index[code], train[doc]
-                heads += np.bincount(at[learned & (at > 0)], minlength=len(heads))
-                heads[0] += int(train.sum())
-                rest = at < 0
-                shapes += np.bincount(shapes_of[code[rest & learned]], minlength=SHAPES)
-                key, n = np.unique(doc[rest] * len(unique) + code[rest], return_counts=True) if rest.any() else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                d, c = key // max(1, len(unique)), key % max(1, len(unique))
-                need = np.unique(c)
-                hashed = np.zeros(len(unique), np.uint64)
-                hashed[need] = hash_words([unique[i] for i in need])
-                word = (hashed[c] & ~np.uint64(SHAPES - 1)) | shapes_of[c].astype(np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(d), np.int8)), pa.array(word.view(np.int64)), file.take(pa.array(d)), row.take(pa.array(d)), pa.array(np.where(train[d], n, -n))], names)
-        for kind, counts in ((1, heads), (2, shapes)):
-            some = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int8)), pa.array(some), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), pa.array(counts[some])], names)
-        give_back()
+            word, n = column(batch, "word"), batch.column(batch.schema.get_field_index("n"))
+            rest = np.array([i for i, w in enumerate(word) if w not in inside], np.int64)
+            word = [word[i] for i in rest.tolist()]
+            shapes = np.fromiter(map(shape, word), np.int64, len(word))
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(word, shapes)), pa.array(shapes), n.take(pa.array(rest))], ["key", "shape", "n"])
 
-    return docs.mapInArrow(run, "kind byte, key long, file long, row long, n long")
+    return counts.select("word", "n").mapInArrow(run, "key long, shape long, n long")
 
 
-def _rest_of_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the words outside the head: per row (file, row) the sum of n * log10(c + 0.5) and how many are known; per shape the number of
-    different training words.  Counts are added up before they are joined back, so that no task holds all rows of a word."""
-    rows = rows.where("kind = 0").drop("kind")
-    counts = stored(rows.groupBy("key").agg(F.sum(F.greatest("n", F.lit(0))).alias("c")))
-    n = F.abs("n")
-    terms = rows.join(counts, "key").groupBy("file", "row").agg(F.sum(n * F.log10(F.col("c") + 0.5)).alias("terms"), F.sum(F.when(F.col("c") > 0, n).otherwise(0)).alias("more"))
-    kinds = counts.where("c > 0").groupBy(F.col("key").bitwiseAND(F.lit(SHAPES - 1)).cast("int").alias("shape")).agg(F.count("*").alias("kinds"))
-    return terms, kinds
+def _rest_of_rows(local: DataFrame, outside: DataFrame) -> DataFrame:
+    """Per row (file, row) of local, over its words outside the head (keys, times): the sum of times * log10(c + 0.5) and how many are known.
+    Counts are added up before they are joined back, so that no task holds all rows of a word."""
+    rows = local.select("file", "row", F.explode(F.arrays_zip("keys", "times")).alias("at")).select("file", "row", F.col("at.keys").alias("key"), F.col("at.times").alias("n"))
+    counts = outside.groupBy("key").agg(F.sum("n").alias("c"))
+    n, c = F.col("n"), F.coalesce("c", F.lit(0))
+    return rows.join(counts, "key", "left").groupBy("file", "row").agg(F.sum(n * F.log10(c + 0.5)).alias("terms"), F.sum(F.when(c > 0, n).otherwise(0)).alias("more"))
 
 
 def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD) -> DataFrame:
@@ -342,18 +332,14 @@ def score(docs: DataFrame, fold: Column, *, head_words: int = HEAD) -> DataFrame
 
 def _scored(docs: DataFrame, head_words: int) -> DataFrame:
     learned = docs.where("train").select("doc_id", "text")
-    head = choose_head(learned, head_words)
+    counts = count_words(learned)
+    head, n_head = choose_head(counts, head_words)
     weights = train(learned, head)
 
-    counted = stored(_count_words(docs, head))
-    heads, shapes, kinds = np.zeros(len(head) + 1), np.zeros(SHAPES), np.zeros(SHAPES)
-    for r in counted.where("kind > 0").groupBy("kind", "key").agg(F.sum("n").alias("n")).toPandas().itertuples():
-        (heads if r.kind == 1 else shapes)[r.key] = r.n
-    terms, by_shape = _rest_of_rows(counted)
-    rest = stored(terms)
-    for r in by_shape.collect():
-        kinds[r["shape"]] = r["kinds"]
-    drop_stored(counted)
+    outside = stored(_outside(counts, head))
+    heads, shapes, kinds = np.array([learned.count(), *n_head], float), np.zeros(SHAPES), np.zeros(SHAPES)
+    for r in outside.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
+        shapes[r["shape"]], kinds[r["shape"]] = r["n"], r["kinds"]
     n_tokens, n_kinds = heads.sum() + shapes.sum(), (heads > 0).sum() + kinds.sum()
     lookup = Words(head)
     room = shapes + 0.5 * kinds + 0.5
@@ -369,7 +355,7 @@ def _scored(docs: DataFrame, head_words: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, most=1_000_000):
                 split = [tokens(t) for t in column(part, "text")]
-                doc, code, _, index, item, shapes = lookup.look_up(split)
+                doc, code, unique, index, item, shapes = lookup.look_up(split)
                 size = len(split)
                 of, target, features = _sequence(doc, item[code], size)
                 model = np.bincount(of, weights.log10(target, features), minlength=size)
@@ -378,19 +364,27 @@ def _scored(docs: DataFrame, head_words: int) -> DataFrame:
                 inside = np.where(item > SHAPES, 0.0, own - log_room[shapes])
                 sure = in_head & (heads[np.maximum(index, 0)] > 0)
                 sums = [np.bincount(doc, v[code], minlength=size) for v in (own, inside, sure.astype(float))]
+                rest = index[code] < 0
+                at, times = np.unique(doc[rest] * len(unique) + code[rest], return_counts=True)
+                of_doc, at = at // max(1, len(unique)), at % max(1, len(unique))
+                need = np.flatnonzero(index < 0)
+                key = np.zeros(len(unique), np.int64)
+                key[need] = _keys([unique[i] for i in need.tolist()], shapes[need])
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(of_doc, minlength=size))]).astype(np.int32))
                 get = lambda name: part.column(part.schema.get_field_index(name))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
                     [
                         get("doc_id").cast(pa.int64()), get("train"), get("file"), get("row"), pa.array(np.bincount(of, minlength=size).astype(np.int64)),
                         pa.array(sums[2].astype(np.int64) + int(heads[0] > 0)), pa.array(sums[0] + log_heads[0]), pa.array(model + sums[1]),
+                        pa.ListArray.from_arrays(ends, pa.array(key[at])), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int64))),
                     ],
-                    ["doc_id", "train", "file", "row", "n_tokens", "known", "own", "model"],
+                    ["doc_id", "train", "file", "row", "n_tokens", "known", "own", "model", "keys", "times"],
                 )
         give_back()
 
-    local = docs.mapInArrow(run, "doc_id long, train boolean, file long, row long, n_tokens long, known long, own double, model double")
+    local = stored(docs.mapInArrow(run, f"{_LOCAL}, keys array<long>, times array<long>"))
     terms = F.coalesce("terms", F.lit(0.0))
-    return local.join(rest, ["file", "row"], "left").select(
+    return local.drop("keys", "times").join(_rest_of_rows(local, outside), ["file", "row"], "left").select(
         "doc_id",
         (~F.col("train")).alias("held_out"),
         "n_tokens",

@@ -19,6 +19,7 @@ from contextlib import contextmanager, suppress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,6 +146,14 @@ def working() -> Iterator[_Held]:
     finally:
         _WORK.stack = [h for h in _WORK.stack if h is not held]
         held.let_go()
+        if not _WORK.stack:
+            _shrink_driver()
+
+
+def _shrink_driver() -> None:
+    """Let the driver's JVM drop the plans and broadcasts of finished work and hand back the heap they took."""
+    if context := SparkContext._active_spark_context:
+        context._jvm.System.gc()
 
 
 @atexit.register

@@ -21,7 +21,6 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -63,7 +62,7 @@ def shape(word: str) -> int:
     ending = 0 if len(core) == len(word) else 1 if word[-1] == "." else 2 if word[-1] == "," else 3
     foreign = 0 if word.isascii() else 1 + ord(next(c for c in word if c > "\x7f")) % 3
     last = core[-2:]
-    return (ending * 4 + foreign) * 8 + (sum(ord(c) * (7 + i) for i, c in enumerate(last)) % 8 if last else 0)
+    return (ending * 4 + foreign) * 8 + (ord(last[0]) * 7 % 8 if len(last) == 1 else (ord(last[0]) * 7 + ord(last[1]) * 8) % 8 if last else 0)
 
 
 class Words:
@@ -104,20 +103,34 @@ def _sequence(doc: np.ndarray, item: np.ndarray, n: int) -> tuple[np.ndarray, np
         b[at < k] = BEGIN
         back.append(b)
     a, b, c = back
-    pair = (a * 40503 + b * 10007 + (a * b) % 8191) % PAIRS
+    pair = (a * 40503 + b * 10007 + (a * b) % 8191) & (PAIRS - 1)
     return of, target, np.stack([np.zeros(total, np.int64), _WORD1 + a, _WORD2 + b, _WORD3 + c, _PAIR + pair], 1)
 
 
 def _second(features: np.ndarray, klass: np.ndarray) -> np.ndarray:
-    """Rows of the second table; the bias has rows of its own, one per class."""
-    out = (features * 2654435761 + klass[:, None] * 40503 + features * klass[:, None] * 31) % ROWS2
+    """Rows of the second table; the bias has rows of its own, one per class.  16 bits are enough, as ROWS2 divides what they wrap at."""
+    f, k = features.astype(np.uint16), klass.astype(np.uint16)[:, None]
+    out = f * (k * np.uint16(31) + np.uint16(2654435761 % (1 << 16)))
+    out += k * np.uint16(40503)
+    out &= np.uint16(ROWS2 - 1)
     out[:, 0] = ROWS2 + klass
     return out
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """z, made smaller by each line's maximum where float32 could overflow or vanish, and exp of it."""
+    if not (-60 < z.min(initial=0) and z.max(initial=0) < 60):
+        z = z - z.max(1, keepdims=True)
+    return z, np.exp(z)
+
+
+_ONES = np.ones(SIDE, np.float32)
+
+
+def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each line's log softmax at one place."""
+    z, e = _exp(z)
+    return z[np.arange(len(at)), at] - np.log(e @ _ONES)
 
 
 def _summed(table_: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -162,19 +175,16 @@ class Weights:
         out = np.empty(len(target))
         for a in range(0, len(target), batch):
             t, f = target[a : a + batch], features[a : a + batch]
-            row = np.arange(len(t))
             klass, place = t % SIDE, t // SIDE
-            out[a : a + batch] = _log_softmax(_summed(self.one, f))[row, klass] + _log_softmax(_summed(self.two, _second(f, klass)))[row, place]
+            out[a : a + batch] = _log_softmax_at(_summed(self.one, f), klass) + _log_softmax_at(_summed(self.two, _second(f, klass)), place)
         return out / np.log(10)
 
     def learn(self, target: np.ndarray, features: np.ndarray, squares: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on a batch."""
         klass, place = target % SIDE, target // SIDE
         for which, table_, rows, right in ((0, self.one, features, klass), (1, self.two, _second(features, klass), place)):
-            z = _summed(table_, rows)
-            z -= z.max(1, keepdims=True)
-            p = np.exp(z, out=z)
-            p /= (p @ np.ones(SIDE, np.float32))[:, None]
+            p = _exp(_summed(table_, rows))[1]
+            p /= (p @ _ONES)[:, None]
             p[np.arange(len(right)), right] -= 1
             at, slope = _added(p, rows)
             slope *= np.float32(1 / np.sqrt(len(right)))
@@ -258,7 +268,7 @@ def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float
             if seen:  # what changed, weighted by the tokens learned from; untouched pieces aren't sent
                 start = Weights.join(held.value)
                 change = (seen * (own.flat() - start.flat()).astype(np.float64)).astype(np.float32)
-                made = [(i, zlib.compress(c.tobytes(), 1)) for i, a in enumerate(range(0, len(change), _PIECE)) if (c := change[a : a + _PIECE]).any()]
+                made = [(i, pa.compress(c.tobytes(), codec="zstd", asbytes=True)) for i, a in enumerate(range(0, len(change), _PIECE)) if (c := change[a : a + _PIECE]).any()]
                 made.append((-1, np.float64(seen).tobytes()))
                 step = TaskContext.get().partitionId() % steps
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in made], pa.int32()), pa.array([step] * len(made), pa.int32()), pa.array([b for _, b in made], pa.binary())], ["piece", "step", "change"])
@@ -269,8 +279,10 @@ def train(docs: DataFrame, head: list[str], *, rounds: int = ROUNDS, rate: float
     def add(first: bool):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             piece, total = int(pdf["piece"].iloc[0]), 0.0
+            size = 4 * min(_PIECE, (ROWS1 + ROWS2 + SIDE) * SIDE - piece * _PIECE)
             for c in pdf["change"]:
-                total = total + (np.frombuffer(zlib.decompress(c), np.float32).astype(np.float64) if first and piece >= 0 else np.frombuffer(c, np.float64))
+                c = np.frombuffer(pa.decompress(c, size, "zstd"), np.float32) if first and piece >= 0 else np.frombuffer(c, np.float64)
+                total = total + c.astype(np.float64)
             return pd.DataFrame({"piece": [piece], "step": [0], "change": [total.tobytes()]})
 
         return run

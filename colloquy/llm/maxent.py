@@ -58,11 +58,12 @@ def tokens(text: str | None) -> list[str]:
 
 def shape(word: str) -> int:
     """0 to 127: the kind of the last character, the first letter beyond ASCII, and the last two letters, hashed."""
-    core = word.rstrip(".,;:!?")
-    ending = 0 if len(core) == len(word) else 1 if word[-1] == "." else 2 if word[-1] == "," else 3
+    if word[-1] in ".,;:!?":
+        core, ending = word.rstrip(".,;:!?"), 1 if word[-1] == "." else 2 if word[-1] == "," else 3
+    else:
+        core, ending = word, 0
     foreign = 0 if word.isascii() else 1 + ord(next(c for c in word if c > "\x7f")) % 3
-    last = core[-2:]
-    return (ending * 4 + foreign) * 8 + (ord(last[0]) * 7 % 8 if len(last) == 1 else (ord(last[0]) * 7 + ord(last[1]) * 8) % 8 if last else 0)
+    return (ending * 4 + foreign) * 8 + (ord(core[-2:][0]) * 7 % 8 if core else 0)
 
 
 class Words:

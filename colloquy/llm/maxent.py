@@ -58,7 +58,7 @@ def tokens(text: str | None) -> list[str]:
 
 def shape(word: str) -> int:
     """0 to 127: the kind of the last character, the first letter beyond ASCII, and the last two letters, hashed."""
-    if word[-1] in ".,;:!?":
+    if word and word[-1] in ".,;:!?":
         core, ending = word.rstrip(".,;:!?"), 1 if word[-1] == "." else 2 if word[-1] == "," else 3
     else:
         core, ending = word, 0

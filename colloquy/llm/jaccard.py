@@ -19,8 +19,8 @@ meets its partners in one.  Pairs inside the largest group of a list need no loo
 of the list, the others to one.  Lists that hang together by common nodes are taken as one where that saves comparisons.  Blocks are
 bounded by the tokens in them.
 
-Statistics: one pass counts all shingles of all documents in `2**sketch_bits` hashed counters, which find passages that many
-documents share; scores of common words tell chance meetings of frequent words from rare shingles.  Both only order tokens
+Statistics: one pass counts all shingles and all words of all documents in `2**sketch_bits` hashed counters each.  Those of shingles find
+passages that many documents share; those of words tell chance meetings of frequent words from rare shingles.  Both only order tokens
 and choose l, and any order gives the same links.
 
 Rules: null texts and texts without words have the empty set and link with nothing; a text of fewer than k words is one
@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -42,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, drop_stored, give_back, hash_share, hash_words, mix64, shared, slices, stored, table, words, working
+from .common import column, drop_stored, give_back, hash_words, mix64, shared, slices, stored, table, words, working
 
 SKETCH_BITS = 20
 #: The largest l (long sets may have one more per 40 tokens), and what verifying a pair costs in units of reading one prefix entry.
@@ -58,26 +57,34 @@ BROADCAST_ROWS = 500_000
 EDGES_PER_FILE = 200_000
 #: Stands for a null doc_id where rows are looked up.
 _NO_ID = -(1 << 63)
-#: Words whose frequency is known when tokens are ordered, and the documents that it is taken from.
-COMMON_WORDS, SAMPLE_DOCS = 50_000, 3000
 
 
 def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's k-word shingles."""
-    return [s for s, _ in scored_sets(texts, k, {})]
+    return [s for s, _ in scored_sets(texts, k)]
 
 
-def scored_sets(texts: list[str | None], k: int, common: dict[str, int]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The sets, and how common each shingle is to be expected: the sum of its words' scores."""
+def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The counters of hashes, by their first bits."""
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def scored_sets(texts: list[str | None], k: int, scores: np.ndarray | None = None, counter: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The sets, and how common each shingle is to be expected: the sum of its words' scores (word_scores(); none: 0).
+
+    The words are counted in counter, if there is one.
+    """
     split = [words(t if t.islower() else t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")) if t else [] for t in texts]
     count = np.array([len(ws) for ws in split], np.int64)
     out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * len(split)
     if not count.sum():
         return out
     code, unique = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))
-    h = hash_words(list(unique))[code]
-    own = np.fromiter((common.get(w, 0) for w in unique), np.int64, len(unique))[code]
-    score = own.copy()
+    h = hash_words(list(unique))
+    if counter is not None:
+        np.add.at(counter, _places(h, len(counter).bit_length() - 1), np.bincount(code, minlength=len(h)).astype(counter.dtype))
+    own = np.zeros(len(code), np.int64) if scores is None else scores[_places(h, len(scores).bit_length() - 1)].astype(np.int64)[code]
+    h, score = h[code], own.copy()
     rolled = mix64(h)
     with np.errstate(over="ignore"):
         for i in range(1, k):
@@ -119,24 +126,25 @@ def fingerprints(sets: list[np.ndarray]) -> list[np.ndarray]:
 
 def _first_pass(docs: DataFrame, k: int, bits: int) -> DataFrame:
     """A row (doc_id, columns of docs beyond text, n, fp1, fp2) per document, and per task the counters as compressed
-    pieces (n: the task, part, counts)."""
+    pieces (n: the task, part, counts): first those of shingles, then those of words."""
     others = docs.columns[2:]
     names = ["doc_id", "n", "fp1", "fp2", "part", "counts", *others]
 
     def run(batches):
-        counter = np.zeros(1 << bits, np.int32)
+        both = np.zeros((2, 1 << bits), np.int32)
+        counter, of_words = both
         kinds = [pa.int64()] * len(others)
         for batch in batches:
             for piece in slices(batch):
-                sets = shingle_sets(column(piece, "text"), k)
+                sets = [s for s, _ in scored_sets(column(piece, "text"), k, counter=of_words)]
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                places = (flat >> np.uint64(64 - bits)).astype(np.int64)
+                places = _places(flat, bits)
                 np.add.at(counter, places, 1) if len(places) < 1 << bits - 3 else np.add(counter, np.bincount(places, minlength=1 << bits).astype(np.int32), out=counter)
                 fp, n = fingerprints(sets), len(sets)
                 yield pa.RecordBatch.from_arrays([piece.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(fp[0]), pa.array(fp[1]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *(piece.column(2 + i).cast(t) for i, t in enumerate(kinds))], names)
         size = 1 << min(bits, _PART_BITS)
-        if counter.any():
-            parts = [zlib.compress(p.tobytes(), 1) for p in counter.reshape(-1, size)]
+        if both.any():
+            parts = [zlib.compress(p.tobytes(), 1) for p in both.reshape(-1, size)]
             none, task = pa.nulls(len(parts), pa.int64()), pa.array([TaskContext.get().partitionId()] * len(parts), pa.int64())
             yield pa.RecordBatch.from_arrays([none, task, none, none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary()), *(pa.nulls(len(parts), t) for t in kinds)], names)
         give_back()
@@ -145,7 +153,8 @@ def _first_pass(docs: DataFrame, k: int, bits: int) -> DataFrame:
 
 
 def _sketch(rows: DataFrame, bits: int) -> np.ndarray:
-    """The tasks' counters added up, in two steps of about the root of their number; the sum has a fixed size and goes to the driver."""
+    """The tasks' counters of shingles and of words added up, in two steps of about the root of their number; the sum has a fixed size and goes to
+    the driver."""
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = None
@@ -158,11 +167,16 @@ def _sketch(rows: DataFrame, bits: int) -> np.ndarray:
     rows = rows.where(F.col("part").isNotNull())
     steps = math.isqrt((rows.agg(F.max("n")).first()[0] or 0) + 1) + 1
     once = rows.select("part", (F.col("n") % steps).cast("int").alias("step"), "counts").groupBy("part", "step").applyInPandas(add, shape)
-    out = np.zeros(1 << bits, np.int64)
+    out = np.zeros(2 << bits, np.int64)
     size = 1 << min(bits, _PART_BITS)
     for r in once.groupBy("part").applyInPandas(add, shape).collect():
         out[r.part * size : (r.part + 1) * size] = np.frombuffer(zlib.decompress(r.counts), np.int64)
-    return out
+    return out.reshape(2, -1)
+
+
+def word_scores(counts: np.ndarray) -> np.ndarray:
+    """The score of each counter of words: log2 of the count, rounded."""
+    return np.log2(np.maximum(counts, 1)).round().astype(np.int8)
 
 
 def prefixes(sets: list[tuple[np.ndarray, np.ndarray]], sketch: np.ndarray, percent: int, most: int = MOST_MATCHES) -> list[tuple[int, np.ndarray]]:
@@ -190,36 +204,16 @@ def prefixes(sets: list[tuple[np.ndarray, np.ndarray]], sketch: np.ndarray, perc
     return out
 
 
-def common_words(docs: DataFrame, most: int = COMMON_WORDS, sample_docs: int = SAMPLE_DOCS) -> dict[str, int]:
-    """Scores (log2 of the count) of the most frequent words of about sample_docs documents, chosen by a hash of the id.
-
-    Like the counters they only order tokens; words outside score 0.
-    """
-    rows = docs.where(F.col("text").isNotNull() & hash_share("key", min(1.0, sample_docs / max(1, docs.select("key").count()))))
-
-    def count(batches):
-        seen: Counter = Counter()
-        for batch in batches:
-            for piece in slices(batch):
-                for t in column(piece, "text"):
-                    seen.update(words(t.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")))
-        top = seen.most_common(2 * most)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
-        give_back()
-
-    found = rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).toPandas()
-    return dict(zip(found["word"].tolist(), np.log2(found["n"].to_numpy(np.float64)).round().astype(int).tolist(), strict=True))
-
-
 def _prefix_rows(docs: DataFrame, k: int, sketch: np.ndarray, percent: int, most: int) -> DataFrame:
     """key, n, fp1, fp2, ell and the prefix tokens of every row (key, text) of docs."""
-    held = shared(docs.sparkSession, (sketch.astype(np.float32 if sketch.max(initial=0) < 1 << 24 else np.float64), common_words(docs)))
+    of_shingles, of_words = sketch
+    held = shared(docs.sparkSession, (of_shingles.astype(np.float32 if of_shingles.max(initial=0) < 1 << 24 else np.float64), word_scores(of_words)))
 
     def run(batches):
         for batch in batches:
             for piece in slices(batch):
-                sketch, common = held.value
-                sets = scored_sets(column(piece, "text"), k, common)
+                sketch, scores = held.value
+                sets = scored_sets(column(piece, "text"), k, scores)
                 found, fp = prefixes(sets, sketch, percent, most), fingerprints([s for s, _ in sets])
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array(fp[0]), pa.array(fp[1]), pa.array([e for e, _ in found], pa.int32()), pa.array([_signed(t) for _, t in found], pa.list_(pa.int64()))], [*_NAME, "ell", "tokens"])
         give_back()

@@ -134,3 +134,10 @@ def test_prefixes_share_enough():
             assert shared >= min(la, lb) >= 1
             common = -(-80 * (len(a) + len(b)) // 180)
             assert shared >= min(common - -(-80 * len(x) // 100) + ell for x, ell in ((a, la), (b, lb)))
+
+
+def test_words_are_counted_in_all_documents(documents):
+    docs = documents(*((i, f"Often w{i} often") for i in range(4000)), (None, None)).select("doc_id", "text")
+    counts = jaccard._sketch(jaccard._first_pass(docs, 3, 10), 10)[1]
+    assert counts.sum() == 12_000 and counts.max() >= 8000
+    assert jaccard.word_scores(np.array([0, 1, 2, 1000])).tolist() == [0, 0, 1, 10]

@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon.
 
-Frequent words (chosen on a bounded sample, which decides speed only) are compiled into a minimal acyclic automaton that
-shares suffixes.  Each transition carries the number of words that sort before those it leads to, so that the sum along
+Frequent words (the tokenizer's own whole words, in the order in which its training found them) are compiled into a minimal acyclic
+automaton that shares suffixes.  Each transition carries the number of words that sort before those it leads to, so that the sum along
 a path is the word's rank, and the rank addresses the word's ids in one flat array.  The automaton is a few megabytes
 (bounded by `lexicon_words`); it is broadcast, written once per Python worker to an unlinked file and memory-mapped.
 Words outside it are merged exactly, lowest merge rank first.
@@ -22,7 +22,7 @@ import re
 import struct
 import tempfile
 import unicodedata
-from collections import Counter
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,13 +30,11 @@ import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import column, give_back, hash_share, shared, slices, table, working
+from .common import column, give_back, shared, slices, table
 
-#: How many words the lexicon holds at most, and how many documents are read to choose them.
+#: How many words the lexicon holds at most.
 LEXICON_WORDS = 30_000
-SAMPLE_DOCS = 3_000
 #: Words that a Python worker remembers at most.
 REMEMBERED = 100_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -352,27 +350,17 @@ class Encoder:
         return out
 
 
-def frequent(docs: DataFrame, held: Broadcast, most: int, sample_docs: int) -> list[str]:
-    """The most frequent words of about sample_docs documents (chosen by a hash of the id); only speed depends on it."""
-    rows = docs.where(F.col("text").isNotNull() & hash_share("doc_id", min(1.0, sample_docs / max(1, docs.count()))))
-
-    def count(batches):
-        split, seen = Splitter(held.value), Counter()
-        for batch in batches:
-            for part in slices(batch):
-                for text in column(part, "text"):
-                    for added, ws in split(text):
-                        if not added:
-                            seen.update(ws)
-        kept = seen.most_common(2 * most)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
-        give_back()
-
-    found = rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [r.word for r in found.collect()]
+def whole_words(rules: Rules, most: int) -> list[str]:
+    """The first words that are tokens of their own: a tokenizer numbers them by how frequent its training found them."""
+    back, out = {c: b for b, c in enumerate(byte_letters())}, []
+    for token in rules.tokens:
+        if len(out) < most and token.endswith(rules.end) and len(token) > len(rules.end):
+            with suppress(KeyError, UnicodeDecodeError):  # added tokens, parts of characters
+                out.append(bytes(back[c] for c in token[: len(token) - len(rules.end)]).decode("utf-8"))
+    return out
 
 
-def encode_documents(docs: DataFrame, path: str, *, lexicon_words: int = LEXICON_WORDS, sample_docs: int = SAMPLE_DOCS, ids: bool = False, texts: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, *, lexicon_words: int = LEXICON_WORDS, ids: bool = False, texts: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Encode and decode every whole text of docs (doc_id, text; other columns but those to keep are ignored).
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256 per row; with ids=True also ids array<int>, with texts=True also
@@ -380,9 +368,7 @@ def encode_documents(docs: DataFrame, path: str, *, lexicon_words: int = LEXICON
     """
     docs = docs.select("doc_id", "text", *keep)
     rules = Rules.load(path)
-    with working():
-        words = frequent(docs, shared(docs.sparkSession, rules), lexicon_words, sample_docs)
-    held = shared(docs.sparkSession, (rules, Lexicon.build({w: rules.merge(w) for w in words}).dump()))
+    held = shared(docs.sparkSession, (rules, Lexicon.build({w: rules.merge(w) for w in whole_words(rules, lexicon_words)}).dump()))
 
     def run(batches):
         encoder = _encoder(held)

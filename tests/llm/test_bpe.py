@@ -71,3 +71,15 @@ def test_executors_do_not_open_the_tokenizer_file(documents, library, tmp_path):
     made = bpe.encode_documents(documents((1, "ΟΔΟΣ 三百"), (1, "İ x"), (None, None)), str(path), ids=True)
     path.unlink()
     assert sorted(r.ids for r in made.collect()) == sorted([*(library.encode(t, add_special_tokens=False).ids for t in ("ΟΔΟΣ 三百", "İ x")), []])
+
+
+def test_the_lexicon_reads_no_documents(spark, documents):
+    """Its words are the tokenizer's own, so no job runs, and none are counted in part of the table."""
+    docs = documents((1, "Hello there"))
+    spark.sparkContext.setJobGroup("lexicon", "no job")
+    bpe.encode_documents(docs, bpe.tokenizer_path())
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lexicon")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rules = bpe.Rules.load(bpe.tokenizer_path())
+    words = bpe.whole_words(rules, 2000)
+    assert len({*words}) == 2000 and "the" in words and all(rules.tokens[i] == w + rules.end for w in words if w.isascii() and w.isalpha() for [i] in [rules.merge(w)])

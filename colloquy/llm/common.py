@@ -126,6 +126,8 @@ class _Held:
 
 
 _OUTERMOST, _WORK = _Held(), threading.local()
+#: Results stored in one piece of work, after so many of which the driver hands memory back; near duplicates store some forty.
+SHRINK_EVERY = 6
 
 
 def _held(inside: _Held | None = None) -> _Held:
@@ -151,9 +153,22 @@ def working() -> Iterator[_Held]:
 
 
 def _shrink_driver() -> None:
-    """Let the driver's JVM drop the plans and broadcasts of finished work and hand back the heap they took."""
+    """Let the driver's JVM drop the plans and broadcasts of finished work and hand back the heap they took, and the memory beside the
+    heap (compilers, collector, plans' generated classes) that the C library keeps once it is free."""
     if context := SparkContext._active_spark_context:
         context._jvm.System.gc()
+        with suppress(Exception):  # not every JVM has this command
+            _trim(context)
+
+
+def _trim(context: SparkContext) -> None:
+    jvm, array = context._jvm, context._gateway.new_array
+    call = array(jvm.java.lang.Object, 4)
+    call[0], call[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    call[2], call[3] = array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)
+    # by the interface's method: the server's class isn't open to others
+    (invoke,) = (m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), call)
 
 
 @atexit.register
@@ -181,6 +196,10 @@ def stored(df: DataFrame) -> DataFrame:
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     _held().things[path] = lambda: _delete(spark, path)
+    _WORK.stored = getattr(_WORK, "stored", 0) + 1
+    if _WORK.stored % SHRINK_EVERY == 0:
+        gc.collect()  # JVM objects that Python still names
+        _shrink_driver()
     return out
 
 

@@ -122,3 +122,15 @@ def test_empty(spark, folder):
 def test_stage_contract():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and all(isinstance(n, str) and callable(f) for n, f in corpus_pipeline.STAGES)
     assert pii.KEY and mixing.BLOCK_CHARS > 0
+
+
+def test_the_driver_hands_memory_back_within_a_piece_of_work(spark, monkeypatch):
+    from colloquy.llm import common
+
+    common._trim(spark.sparkContext)  # this JVM knows the command
+    calls = []
+    monkeypatch.setattr(common, "_shrink_driver", lambda: calls.append(1))
+    with common.working():
+        for _ in range(common.SHRINK_EVERY):
+            common.stored(spark.range(3))
+        assert len(calls) == 1
